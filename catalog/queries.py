@@ -641,7 +641,7 @@ def stream_category_totals(spark, folder):
 def ingest_feed(spark, folder):
     """The whole load of the feed into a store that holds every 25th article."""
     feed = views.overlap(views.feed(spark, folder))
-    stored = views.feed(spark, folder).where("doc_id % 25 = 0")
+    stored = clean.truncate_headline(views.feed(spark, folder).where("doc_id % 25 = 0"))
     fresh = ingest.articles_to_store(feed, RULES, stored, profiles=_profiles(spark, folder), arrival=("arrival",))
     return fresh.select(
         "story_id",

@@ -65,7 +65,7 @@ def required_score(categories: Column, minimum: dict) -> Column:
 
 def split_categories(joined: Column) -> Column:
     """Tags of a comma-joined list, trimmed, blanks dropped."""
-    return F.filter(F.transform(F.split(joined, ","), F.trim), lambda c: c != "")
+    return F.filter(F.transform(F.split(joined, ","), lambda c: F.trim(c)), lambda c: c != "")
 
 
 def join_categories(categories: Column) -> Column:
