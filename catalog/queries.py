@@ -91,8 +91,10 @@ def ingest_insert_only(spark, folder):
 
 def _by_category(spark, folder):
     articles = views.feed(spark, folder)
-    searched = tagging.full_text(F.col("headline"), F.col("body_text"))
-    matched = articles.withColumn("categories", tagging.searched_categories(searched, RULES.search_terms))
+    searched = articles.withColumn("t", tagging.full_text(F.col("headline"), F.col("body_text")))
+    matched = text.compute_once(
+        searched, {"categories": tagging.searched_categories(F.col("t"), RULES.search_terms)}
+    ).drop("t")
     return store.ingest_by_category(matched, articles.where("doc_id % 5 = 0"))
 
 
@@ -215,7 +217,8 @@ def category_search(spark, folder):
         F.when(tagging.category_search(F.col("t"), RULES.search_terms, cat, F.col("language"), "en"), F.lit(cat))
         for cat in [*RULES.search_terms, "UNDEFINED"]
     ]
-    return articles.select("story_id", F.explode(F.array_compact(F.array(*hits))).alias("category"))
+    found = articles.select("story_id", F.explode_outer(F.array_compact(F.array(*hits))).alias("category"))
+    return found.where(F.col("category").isNotNull())
 
 
 @query

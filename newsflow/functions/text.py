@@ -7,7 +7,7 @@ import re
 from collections.abc import Callable
 from html.entities import name2codepoint
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WORD = r"\p{L}\p{N}_"
@@ -71,9 +71,16 @@ def decode_entities(text: Column) -> Column:
 
 
 def contains_word(text: Column, words: list[str]) -> Column:
-    """Any of ``words`` as a whole word, whatever the script; ``text`` in lower case."""
-    either = "|".join(re.escape(w.lower()) for w in words)
-    return text.rlike(f"(^|[^{WORD}])({either})([^{WORD}]|$)")
+    """Any of ``words`` as a whole word, whatever the script; ``text`` in lower case.
+
+    Most texts are settled by a plain substring search. The pattern starts with
+    the word itself and looks at its neighbours only where the word was found.
+    """
+    hit = F.lit(False)
+    for word in words:
+        w = re.escape(word.lower())
+        hit = hit | (text.contains(word.lower()) & text.rlike(f"{w}(?![{WORD}])(?<![{WORD}]{w})"))
+    return hit
 
 
 def contains_any(text: Column, terms: list[str]) -> Column:
@@ -110,3 +117,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     once the optimizer has merged projections; a lambda variable is not.
     """
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def compute_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add costly columns so that they are computed once per row.
+
+    Filters and generators on a plain projection are pushed below it and
+    compute its expressions again; they are not pushed through ``inline_outer``.
+    """
+    row = F.struct(*[col.alias(name) for name, col in columns.items()])
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*kept, F.inline_outer(F.array(row)))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.functions import tagging
+from newsflow.functions.text import compute_once
 from newsflow.operators import clean, dedup, language, neardup
 from newsflow.rules import Rules
 from newsflow.sources import feed as feeds
@@ -15,20 +16,18 @@ from newsflow.session import cut
 
 def tag_articles(articles: DataFrame, rules: Rules, requested: str | None = None) -> DataFrame:
     """Add ``categories``, ``urgency_level`` and ``priority_score``. No shuffle."""
-    text = F.col("_text")
-    return (
-        articles.withColumn("_text", tagging.full_text(F.col("headline"), F.col("body_text")))
-        .withColumns(
-            {
-                "categories": tagging.detect_categories(
-                    text, F.col("headline"), rules.category_words, rules.headline_phrases, requested
-                ),
-                "urgency_level": tagging.detect_urgency(text, rules.urgency_words),
-                "priority_score": tagging.priority_score(text, rules.priority_terms),
-            }
-        )
-        .drop("_text")
-    )
+    text, headline = F.col("_text"), F.col("headline")
+    whole = articles.withColumn("_text", tagging.full_text(headline, F.col("body_text")))
+    return compute_once(
+        whole,
+        {
+            "categories": tagging.detect_categories(
+                text, headline, rules.category_words, rules.headline_phrases, requested
+            ),
+            "urgency_level": tagging.detect_urgency(text, rules.urgency_words),
+            "priority_score": tagging.priority_score(text, rules.priority_terms),
+        },
+    ).drop("_text")
 
 
 def filter_min_score(scored: DataFrame, rules: Rules) -> DataFrame:

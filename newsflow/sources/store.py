@@ -123,7 +123,7 @@ def ingest_by_category(matched: DataFrame, store: DataFrame, categories: str = "
     known = matched.select("story_id", F.col(categories).alias("c")).join(
         store.select("story_id", F.lit(True).alias("stored")), "story_id", "left"
     )
-    fetched = known.select("stored", F.posexplode("c").alias("pos", "category"))
+    fetched = known.select("stored", F.posexplode_outer("c").alias("pos", "category")).where("category IS NOT NULL")
     return (
         fetched.groupBy("category")
         .agg(
