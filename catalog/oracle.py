@@ -582,18 +582,20 @@ kept AS (
         f"""
 passed AS (SELECT * FROM tagged WHERE priority_score >= {REQUIRED} AND priority_score >= {RULES.minimum_score}),
 stored AS (SELECT story_id, substr(headline, 1, 500) AS headline, published_at FROM feed WHERE doc_id % 25 = 0),
+unstored AS (SELECT * FROM passed WHERE story_id NOT IN (SELECT story_id FROM stored)),
 compared AS MATERIALIZED (
   SELECT * FROM stored
+  WHERE published_at BETWEEN (SELECT min(published_at) - INTERVAL 24 HOUR FROM unstored)
+                         AND (SELECT max(published_at) FROM unstored)
   UNION ALL
-  SELECT story_id, headline, published_at FROM passed WHERE story_id NOT IN (SELECT story_id FROM stored))""",
+  SELECT story_id, headline, published_at FROM unstored)""",
         duplicates("compared"),
-        languages("passed"),
+        languages("unstored"),
         body="""
-SELECT p.story_id, p.source, p.published_at, d.detected AS language, array_to_string(p.categories, ',') AS category,
-       p.urgency_level, p.priority_score
-FROM passed p JOIN detected d USING (story_id)
-WHERE p.story_id NOT IN (SELECT story_id FROM stored)
-  AND p.story_id NOT IN (SELECT story_id FROM duplicates WHERE is_duplicate)""",
+SELECT p.story_id, p.headline, p.body_text, p.source, p.published_at, d.detected AS language,
+       array_to_string(p.categories, ',') AS category, p.urgency_level, p.priority_score
+FROM unstored p JOIN detected d USING (story_id)
+WHERE p.story_id NOT IN (SELECT story_id FROM duplicates WHERE is_duplicate)""",
     ),
     "category_report": with_(
         FEED,

@@ -645,9 +645,11 @@ def ingest_feed(spark, folder):
     """The whole load of the feed into a store that holds every 25th article."""
     feed = views.overlap(views.feed(spark, folder))
     stored = clean.truncate_headline(views.feed(spark, folder).where("doc_id % 25 = 0"))
-    fresh = ingest.articles_to_store(feed, RULES, stored, profiles=_profiles(spark, folder), arrival=("arrival",))
-    return fresh.select(
+    chosen = ingest.choose_articles(feed, RULES, stored, profiles=_profiles(spark, folder), arrival=("arrival",))
+    return ingest.with_texts(chosen, feed, RULES, arrival=("arrival",)).select(
         "story_id",
+        "headline",
+        "body_text",
         "source",
         "published_at",
         "language",

@@ -6,8 +6,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsflow.functions.fields import micros, response_ms
+from newsflow.functions.tagging import join_categories
 from newsflow.functions.text import preview
 from newsflow.operators.ordered import last_before
+from newsflow.session import cut
+
+
+def register_views(articles: DataFrame) -> None:
+    """Temporary views over stored articles: the table itself, its quality by day, its statistics."""
+    articles = articles.withColumn("category", join_categories(F.col("categories")))
+    articles.createOrReplaceTempView("news_articles")
+    quality_daily(articles).createOrReplaceTempView("news_quality_check")
+    stats_by_source_lang_cat(articles).createOrReplaceTempView("news_statistics")
 
 
 def _empty(col: str) -> Column:
@@ -190,8 +200,11 @@ def category_report(articles: DataFrame, categories: list[str], top: int = 10) -
             counter("source", F.when(_empty("source"), F.lit("unknown")).otherwise(F.col("source"))),
         ),
     )
-    counts = (
-        articles.select(F.inline(counters)).where(F.col("key").isNotNull()).groupBy("section", "key").agg(F.count("*").alias("n"))
+    counts = cut(
+        articles.select(F.inline_outer(counters))
+        .where(F.col("key").isNotNull())
+        .groupBy("section", "key")
+        .agg(F.count("*").alias("n"))
     )
     plain = counts.where(F.col("section") != "source")
     sources = counts.where(F.col("section") == "source").orderBy(F.desc("n"), "key").limit(top)

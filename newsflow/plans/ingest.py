@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,9 +11,12 @@ from newsflow.functions import tagging
 from newsflow.functions.text import compute_once
 from newsflow.operators import clean, dedup, language, neardup
 from newsflow.rules import Rules
+from newsflow.session import cut
 from newsflow.sources import feed as feeds
 from newsflow.sources import store
-from newsflow.session import cut
+
+_TEXTS = ("summary", "body_text")
+_FIRST_PUBLISHED = ("published_at", "headline")
 
 
 def tag_articles(articles: DataFrame, rules: Rules, requested: str | None = None) -> DataFrame:
@@ -41,55 +46,111 @@ def order_by_priority(scored: DataFrame) -> DataFrame:
     return scored.orderBy(F.desc("priority_score"), "story_id")
 
 
-def enriched(feed: DataFrame, rules: Rules, bodies: DataFrame | None = None, requested: str | None = None, arrival: tuple[str, ...] = ()) -> DataFrame:
-    """Clean, tagged and scored articles of a feed, one per story."""
-    articles = clean.truncate_headline(clean.normalize_articles(feed), rules.max_headline_length)
-    articles = dedup.keep_first(articles, "story_id", *(arrival or ("published_at", "headline")))
-    articles = clean.filter_sources(articles, rules.excluded_sources)
-    if bodies is not None:
-        articles = feeds.enrich_bodies(articles, bodies)
-    return filter_min_score(tag_articles(articles, rules, requested), rules)
+def normalized(feed: DataFrame, rules: Rules) -> DataFrame:
+    return clean.truncate_headline(clean.normalize_articles(feed), rules.max_headline_length)
 
 
-def articles_to_store(
+def selected(
+    feed: DataFrame,
+    rules: Rules,
+    bodies: DataFrame | None = None,
+    requested: str | None = None,
+    arrival: tuple[str, ...] = _FIRST_PUBLISHED,
+) -> DataFrame:
+    """Valid, tagged and scored articles of a feed, one per story, without their texts.
+
+    Texts that come with the feed are tagged before repeats go, so that only
+    narrow rows are shuffled.
+    """
+    articles = normalized(feed, rules)
+    if bodies is None:
+        articles = tag_articles(articles, rules, requested).drop(*_TEXTS)
+        articles = dedup.keep_first(articles, "story_id", *arrival)
+        articles = clean.filter_sources(articles, rules.excluded_sources)
+    else:
+        articles = dedup.keep_first(articles.drop(*_TEXTS), "story_id", *arrival)
+        articles = clean.filter_sources(articles, rules.excluded_sources)
+        articles = tag_articles(feeds.enrich_bodies(articles, bodies), rules, requested).drop(*_TEXTS)
+    return filter_min_score(articles, rules)
+
+
+def with_texts(
+    chosen: DataFrame, feed: DataFrame, rules: Rules, bodies: DataFrame | None = None, arrival: tuple[str, ...] = _FIRST_PUBLISHED
+) -> DataFrame:
+    """Chosen articles with summary and body: only their texts are moved."""
+    key = list(dict.fromkeys(["story_id", *arrival]))
+    texts = normalized(feed, rules).select(*key, *_TEXTS)
+    joined = dedup.keep_first(chosen.join(texts, key), "story_id", *arrival, *_TEXTS)
+    return joined if bodies is None else feeds.enrich_bodies(joined, bodies)
+
+
+def window_of(stored: DataFrame, articles: DataFrame, hours: int) -> DataFrame:
+    """Stored headlines that can have a near-duplicate among ``articles``."""
+    first, last = articles.agg(F.min("published_at"), F.max("published_at")).first()
+    if first is None:
+        return stored.where("false").select("story_id", "headline", "published_at")
+    since = first - timedelta(hours=hours)
+    near = clean.filter_date_range(stored, since, last)
+    if "published_date" in stored.columns:
+        near = clean.filter_date_range(near, since.date(), last.date(), "published_date")
+    return near.select("story_id", "headline", "published_at")
+
+
+def choose_articles(
     feed: DataFrame,
     rules: Rules,
     stored: DataFrame,
     profiles: DataFrame | None = None,
     bodies: DataFrame | None = None,
     requested: str | None = None,
-    arrival: tuple[str, ...] = (),
+    arrival: tuple[str, ...] = _FIRST_PUBLISHED,
 ) -> DataFrame:
-    """The articles of a feed that the store should get.
+    """The articles of a feed that the store should get, without their texts.
 
     Stored stories and near-duplicates of earlier articles are left out; the
     window of an article also covers what is stored.
     """
-    articles = cut(enriched(feed, rules, bodies, requested, arrival))
+    articles = cut(dedup.exclude_seen(selected(feed, rules, bodies, requested, arrival), stored))
     headlines = articles.select("story_id", "headline", "published_at")
-    known = stored.select("story_id", "headline", "published_at")
-    compared = known.unionByName(dedup.exclude_seen(headlines, known))
+    compared = window_of(stored, articles, rules.window_hours).unionByName(headlines)
     repeats = (
         neardup.near_duplicates(compared, rules.window_hours, rules.similarity, rules.max_features)
         .where("is_duplicate")
         .select("story_id")
     )
-    fresh = dedup.exclude_seen(dedup.exclude_seen(articles, stored), repeats)
+    fresh = dedup.exclude_seen(articles, repeats)
     if profiles is not None:
         fresh = language.detect_language(fresh.drop("language"), profiles).withColumnRenamed("detected", "language")
     return clean.fill_defaults(fresh)
 
 
-def run_ingest(feed: DataFrame, rules: Rules, path: str, as_of: Column, **settings) -> dict[str, int]:
+def run_ingest(
+    feed: DataFrame,
+    rules: Rules,
+    path: str,
+    as_of: Column,
+    profiles: DataFrame | None = None,
+    bodies: DataFrame | None = None,
+    requested: str | None = None,
+    arrival: tuple[str, ...] = _FIRST_PUBLISHED,
+) -> dict[str, int]:
     """Load a feed into the store at ``path`` and count fetched, inserted and failed rows."""
-    spark = feed.sparkSession
-    stored = store.read_articles(spark, path)
-    fresh = cut(
-        articles_to_store(feed, rules, stored, **settings).select(
-            "story_id", "headline", "summary", "body_text", "source", "published_at", "language",
-            "categories", "urgency_level", "priority_score", as_of.alias("created_at"), as_of.alias("updated_at"),
-        )
+    stored = store.read_articles(feed.sparkSession, path)
+    chosen = cut(choose_articles(feed, rules, stored, profiles, bodies, requested, arrival))
+    rows = with_texts(chosen, feed, rules, bodies, arrival).select(
+        "story_id",
+        "headline",
+        "summary",
+        "body_text",
+        "source",
+        "published_at",
+        "language",
+        "categories",
+        "urgency_level",
+        "priority_score",
+        as_of.alias("created_at"),
+        as_of.alias("updated_at"),
     )
-    fetched, inserted = feed.count(), fresh.count()
-    store.append_articles(fresh, path)
+    fetched, inserted = feed.count(), chosen.count()
+    store.append_articles(rows, path)
     return {"articles_fetched": fetched, "articles_inserted": inserted, "articles_failed": fetched - inserted}

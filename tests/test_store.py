@@ -182,6 +182,10 @@ def test_run_ingest(spark, tmp_path):
     assert set(stored) == {"1", "4"}
     assert stored["1"].source == "Reuters" and stored["1"].urgency_level == 1 and stored["1"].priority_score == 20
     assert stored["4"].categories == ["ZINC", "TIN"] and stored["4"].language == "en"
+    assert stored["1"].headline == "BREAKING: Copper strike hits LME supply" and stored["4"].body_text == "tin"
+    reports.register_views(store.read_articles(spark, path))
+    assert spark.sql("SELECT sum(total_articles) FROM news_quality_check").first()[0] == 2
+    assert spark.sql("SELECT category FROM news_statistics WHERE source = 'NS:ABC'").first()[0] == "ZINC,TIN"
     again = ingest.run_ingest(arrived, rules, path, as_of(), bodies=bodies)
     assert again["articles_inserted"] == 0
 
