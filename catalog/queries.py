@@ -12,7 +12,6 @@ from catalog import views
 from catalog.views import RULES
 from newsflow.functions import fields, tagging, text
 from newsflow.operators import clean, dedup, language, neardup, paging, quality, reports
-from newsflow.operators.ordered import number_rows
 from newsflow.plans import ingest, maintenance
 from newsflow.plans.stream_ingest import ingest_stream
 from newsflow.schema import DOCUMENT, EVENT
@@ -462,8 +461,7 @@ def page_duplicate_counts(spark, folder):
 
 @query
 def order_by_priority(spark, folder):
-    scored = views.tagged(spark, folder).select("story_id", "priority_score")
-    return number_rows(scored, F.desc("priority_score"), F.asc("story_id"), name="rank")
+    return ingest.order_by_priority(views.tagged(spark, folder))
 
 
 @query

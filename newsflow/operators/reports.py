@@ -181,11 +181,13 @@ def op_log_rollup(log: DataFrame) -> DataFrame:
 def category_report(articles: DataFrame, categories: list[str], top: int = 10) -> DataFrame:
     """Counts by tag, first tag, language, body and source, as ``section, key, value``.
 
-    Every article names the counters it adds to, so one scan and one small
-    aggregate serve all sections.
+    Texts are read once. Every article names the counters it adds to, so one
+    small aggregate serves all sections.
     """
-    first = F.get("categories", F.lit(0))
     has_body = F.coalesce(F.length("body_text") > 0, F.lit(False))
+    narrow = ["categories", "language", "source", "published_at", "story_id", "headline"]
+    articles = cut(articles.select(*narrow, has_body.alias("has_body")))
+    first = F.get("categories", F.lit(0))
 
     def counter(section: str, key: Column) -> Column:
         return F.struct(F.lit(section).alias("section"), key.alias("key"))
@@ -196,11 +198,11 @@ def category_report(articles: DataFrame, categories: list[str], top: int = 10) -
             counter("total", F.lit("articles")),
             counter("primary_category", first),
             counter("language", F.when(_empty("language"), F.lit("unknown")).otherwise(F.col("language"))),
-            counter("body", F.when(has_body, F.lit("with_body")).otherwise(F.lit("without_body"))),
+            counter("body", F.when(F.col("has_body"), F.lit("with_body")).otherwise(F.lit("without_body"))),
             counter("source", F.when(_empty("source"), F.lit("unknown")).otherwise(F.col("source"))),
         ),
     )
-    counts = cut(
+    counts = (
         articles.select(F.inline_outer(counters))
         .where(F.col("key").isNotNull())
         .groupBy("section", "key")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from newsflow.functions import tagging
 from newsflow.functions.text import compute_once
 from newsflow.operators import clean, dedup, language, neardup
+from newsflow.operators.ordered import number_rows
 from newsflow.rules import Rules
 from newsflow.session import cut
 from newsflow.sources import feed as feeds
@@ -43,7 +44,9 @@ def filter_min_score(scored: DataFrame, rules: Rules) -> DataFrame:
 
 
 def order_by_priority(scored: DataFrame) -> DataFrame:
-    return scored.orderBy(F.desc("priority_score"), "story_id")
+    """``rank`` of all articles by score. A sort reads its input more than once, so the scores are kept first."""
+    narrow = cut(scored.select("story_id", "priority_score"))
+    return number_rows(narrow, F.desc("priority_score"), F.asc("story_id"), name="rank")
 
 
 def normalized(feed: DataFrame, rules: Rules) -> DataFrame:
