@@ -48,6 +48,12 @@ def previous_day(as_of: Column) -> tuple[Column, Column]:
     return hours_before(day, 24), plus_seconds(day, -1)
 
 
+def day_before(as_of: Column) -> tuple[Column, Column]:
+    """Midnight to midnight of the day before ``as_of``."""
+    day = F.date_trunc("day", as_of).cast("timestamp_ntz")
+    return hours_before(day, 24), day
+
+
 def mask_params(params: Column, keys: list[str]) -> Column:
     """Parameter map with the values of secret keys starred out."""
     secret = "(?i)" + "|".join(re.escape(k) for k in keys)

@@ -19,10 +19,14 @@ MAX_COUNT = 500
 
 
 def read_articles(spark: SparkSession, path: str) -> DataFrame:
-    """The stored articles; an empty table where nothing is stored yet."""
+    """The stored articles; an empty table where nothing is stored yet.
+
+    Columns that older files lack are NULL. The schema is given, so no file is
+    opened to find it.
+    """
     if not _exists(spark, path):
         return spark.createDataFrame([], STORED_ARTICLE)
-    return spark.read.option("mergeSchema", True).parquet(path)
+    return spark.read.schema(STORED_ARTICLE).parquet(path)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -98,7 +102,12 @@ def ingest_counts(batch: DataFrame, store: DataFrame) -> DataFrame:
 def append_articles(rows: DataFrame, path: str) -> None:
     """Append to the store, partitioned by date; large dates are split over tasks, small ones joined."""
     dated = rows.withColumn("published_date", F.to_date("published_at"))
-    dated.hint("rebalance", "published_date").write.mode("append").partitionBy("published_date").parquet(path)
+    by_date(dated).write.mode("append").partitionBy("published_date").parquet(path)
+
+
+def by_date(rows: DataFrame) -> DataFrame:
+    """Rows brought together by date for writing, in partitions of even size."""
+    return rows.hint("rebalance", "published_date")
 
 
 def insert_only(batch: DataFrame, path: str, *arrival: str, as_of=None) -> dict[str, int]:
@@ -168,7 +177,7 @@ def apply_updates(spark: SparkSession, path: str, updates: DataFrame, as_of: Col
 
 def _rewrite(rows: DataFrame, path: str) -> None:
     (
-        rows.hint("rebalance", "published_date")
+        by_date(rows)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("published_date")
@@ -224,4 +233,4 @@ def apply_retention(spark: SparkSession, path: str, new_path: str, cutoff: Colum
     stored = read_articles(spark, path)
     kept = stored.where(F.col("published_date") >= F.to_date(cutoff))
     kept = retain(kept, cutoff)
-    kept.hint("rebalance", "published_date").write.partitionBy("published_date").parquet(new_path)
+    by_date(kept).write.partitionBy("published_date").parquet(new_path)

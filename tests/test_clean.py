@@ -70,3 +70,4 @@ def test_mask_and_previous_day(spark):
     row = df.select(fields.mask_params(F.col("p"), ["api_key", "token"]).alias("p"), start.alias("s"), end.alias("e")).first()
     assert row.p == {"API_KEY": "*" * 8, "count": "5", "my_token": "*" * 8}
     assert (row.s, row.e) == (datetime(2024, 2, 29), datetime(2024, 2, 29, 23, 59, 59))
+    assert tuple(df.select(*fields.day_before(F.col("t"))).first()) == (datetime(2024, 2, 29), datetime(2024, 3, 1))

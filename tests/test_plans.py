@@ -60,6 +60,11 @@ def test_dates_prune_partitions(spark, tmp_path):
     assert re.search(r"PartitionFilters: \[.*published_date.*>= 2024-01-02", plan(kept))
 
 
+def test_writes_rebalance_by_date(spark):
+    dated = views.feed(spark, FOLDER).select("story_id", F.to_date("published_at").alias("published_date"))
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan(store.by_date(dated))
+
+
 def test_no_plan_multiplies_rows(spark):
     """No cartesian product and no nested loop join in any query."""
     for name, query in QUERIES.items():

@@ -62,6 +62,17 @@ def test_update_in_place_rewrites_touched_dates_only(spark, tmp_path):
     assert before == {p.name for p in (tmp_path / "store" / "published_date=2024-01-01").glob("*.parquet")}
 
 
+def test_older_files_lack_a_column(spark, tmp_path):
+    path = str(tmp_path / "store")
+    rows = spark.createDataFrame([("1", DAY, 7), ("2", DAY, None)], "story_id string, published_at timestamp_ntz, priority_score int")
+    store.append_articles(rows.where("story_id = '2'").drop("priority_score"), path)
+    store.append_articles(rows.where("story_id = '1'"), path)
+    stored = store.read_articles(spark, path)
+    assert {r.story_id: r.priority_score for r in stored.collect()} == {"1": 7, "2": None}
+    evolved = store.evolve_add_column(stored.where("false").drop("priority_score"), stored, "priority_score", 0)
+    assert {r.story_id: r.priority_score for r in evolved.collect()} == {"1": 7, "2": 0}
+
+
 def test_delete_cascade(spark):
     links = spark.createDataFrame([("1", "LME"), ("1", "CU"), ("2", "ZN")], "story_id string, ric_code string")
     keys = spark.createDataFrame([("1",), ("9",)], "story_id string")

@@ -93,3 +93,20 @@ def test_ingest_stream(spark):
         "1": ("Reuters", ["COPPER"], 10, "2024-01-01"),
         "4": ("NS:ABC", ["ZINC"], 5, "2024-01-02"),
     }
+
+
+def test_continuous_load(spark):
+    path = scratch_path(spark, "start-test")
+    source, table, checkpoint = (f"{path}/{p}" for p in ("source", "table", "checkpoint"))
+    arrive(spark, source, ("a", 0), ("b", 1))
+    dated = stream(spark, source).withColumn("day", F.to_date("ts"))
+    query = streams.start(dated, table, checkpoint, every="1 second", partition_by=("day",))
+    try:
+        query.processAllAvailable()
+        arrive(spark, source, ("c", 1500))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert {(r.story_id, str(r.day)) for r in spark.read.parquet(table).collect()} == {
+        ("a", "2024-01-01"), ("b", "2024-01-01"), ("c", "2024-01-02"),
+    }
