@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from newsflow.functions.fields import plus_seconds
 from newsflow.operators.ordered import number_rows
+from newsflow.session import cut
 
 _BLOCK = 100_000  # pages per task in sums over all pages
 
@@ -53,11 +54,12 @@ def page_duplicate_counts(paged: DataFrame, key: str = "story_id") -> DataFrame:
     """
     per_page = paged.groupBy(key, "page").agg(F.count("*").alias("n"))
     first = per_page.groupBy(key).agg(F.min("page").alias("page"), F.min_by("n", "page").alias("n"))
-    new = first.groupBy("page").agg(F.sum("n").alias("new_rows"))
-    size = per_page.groupBy("page").agg(F.sum("n").alias("n_rows"))
+    rows = paged.select("page", F.lit(1).alias("n_rows"), F.lit(0).alias("new_rows"))
+    new = first.select("page", F.lit(0).alias("n_rows"), F.col("n").alias("new_rows"))
     return (
-        size.join(new, "page", "left")
-        .withColumn("new_rows", F.coalesce("new_rows", F.lit(0)))
+        rows.unionByName(new)
+        .groupBy("page")
+        .agg(F.sum("n_rows").alias("n_rows"), F.sum("new_rows").alias("new_rows"))
         .withColumn("duplicates", F.col("n_rows") - F.col("new_rows"))
     )
 
@@ -67,7 +69,7 @@ def page_running_totals(counts: DataFrame, *columns: str) -> DataFrame:
 
     Pages are summed in blocks and the blocks in a second, far smaller step.
     """
-    blocked = counts.withColumn("_block", F.floor((F.col("page") - 1) / _BLOCK))
+    blocked = cut(counts).withColumn("_block", F.floor((F.col("page") - 1) / _BLOCK))
     blocks = blocked.groupBy("_block").agg(*[F.sum(c).alias(f"_sum_{c}") for c in columns])
     earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.select(

@@ -82,7 +82,7 @@ def with_texts(
 ) -> DataFrame:
     """Chosen articles with summary and body: only their texts are moved."""
     key = list(dict.fromkeys(["story_id", *arrival]))
-    texts = normalized(feed, rules).select(*key, *_TEXTS)
+    texts = clean.filter_sources(normalized(feed, rules), rules.excluded_sources).select(*key, *_TEXTS)
     joined = dedup.keep_first(chosen.join(texts, key), "story_id", *arrival, *_TEXTS)
     return joined if bodies is None else feeds.enrich_bodies(joined, bodies)
 

@@ -197,13 +197,13 @@ def delete_cascade(articles: DataFrame, links: DataFrame, keys: DataFrame) -> tu
 
 def delete_report(articles: DataFrame, links: DataFrame, keys: DataFrame) -> DataFrame:
     """Rows deleted from and left in both tables."""
-    gone = articles.join(keys.select("story_id"), "story_id", "left_semi").select("story_id").distinct()
-    marked = gone.withColumn("gone", F.lit(True))
+    wanted = keys.select("story_id").distinct()
+    gone = wanted.join(articles.select("story_id"), "story_id", "left_semi")
 
-    def count(table: DataFrame, name: str) -> DataFrame:
+    def count(table: DataFrame, deleted: DataFrame, name: str) -> DataFrame:
         return (
             table.select("story_id")
-            .join(marked, "story_id", "left")
+            .join(deleted.withColumn("gone", F.lit(True)), "story_id", "left")
             .agg(
                 F.count_if(F.col("gone").isNull()).alias("remaining"),
                 F.count_if(F.col("gone")).alias("deleted"),
@@ -211,7 +211,7 @@ def delete_report(articles: DataFrame, links: DataFrame, keys: DataFrame) -> Dat
             .select(F.lit(name).alias("table_name"), "remaining", "deleted")
         )
 
-    return count(articles, "news_articles").unionByName(count(links, "news_rics"))
+    return count(articles, wanted, "news_articles").unionByName(count(links, gone, "news_rics"))
 
 
 def retain(df: DataFrame, cutoff: Column, time: str = "published_at") -> DataFrame:
