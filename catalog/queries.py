@@ -626,8 +626,9 @@ def stream_late_data(spark, folder):
 @query
 def stream_exclude_stored(spark, folder):
     stored = views.events(spark, folder).where("event_id % 2 = 0")
-    fresh = streams.exclude_stored(_event_stream(spark, folder).select("event_id", "ts"), stored, "event_id")
-    return streams.loaded(fresh, "exclude_stored")
+    events = streams.with_event_time(_event_stream(spark, folder).select("event_id", "ts"), "ts")
+    fresh = streams.exclude_stored(streams.dedup_stream(events, "event_id"), stored, "event_id")
+    return streams.loaded(fresh, "exclude_stored").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 @query

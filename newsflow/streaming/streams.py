@@ -53,7 +53,10 @@ def hourly_counts(stream: DataFrame, time: str, *by: str | Column) -> DataFrame:
 
 
 def exclude_stored(stream: DataFrame, stored: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is not stored: the stored table is read again for each batch."""
+    """Rows whose key is not stored: the stored table is read again for each batch.
+
+    Remove repeats first (:func:`dedup_stream`), so that no key has many rows here.
+    """
     ids = stored.select(F.col(key).alias("_stored")).distinct()
     return stream.join(ids, F.col(key) == F.col("_stored"), "left_outer").where(F.col("_stored").isNull()).drop("_stored")
 

@@ -11,4 +11,4 @@ from newsflow.session import prepare  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    return prepare(session(8, **{"spark.driver.memory": "8g"}))
+    return prepare(session(8, **{"spark.driver.memory": "8g", "spark.sql.shuffle.partitions": "4"}))

@@ -63,13 +63,3 @@ def test_dates_prune_partitions(spark, tmp_path):
 def test_writes_rebalance_by_date(spark):
     dated = views.feed(spark, FOLDER).select("story_id", F.to_date("published_at").alias("published_date"))
     assert "REBALANCE_PARTITIONS_BY_COL" in plan(store.by_date(dated))
-
-
-def test_no_plan_multiplies_rows(spark):
-    """No cartesian product and no nested loop join in any query."""
-    for name, query in QUERIES.items():
-        if name.startswith("stream_"):
-            continue
-        text = plan(query(spark, FOLDER))
-        assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
-        assert "PythonUDF" not in text and "ArrowEval" not in text, name
