@@ -645,7 +645,7 @@ def ingest_feed(spark, folder):
     feed = views.overlap(views.feed(spark, folder))
     stored = clean.truncate_headline(views.feed(spark, folder).where("doc_id % 25 = 0"))
     chosen = ingest.choose_articles(feed, RULES, stored, profiles=_profiles(spark, folder), arrival=("arrival",))
-    return ingest.with_texts(chosen, feed, RULES, arrival=("arrival",)).select(
+    return ingest.with_texts(chosen, feed, RULES).select(
         "story_id",
         "headline",
         "body_text",

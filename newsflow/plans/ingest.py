@@ -50,7 +50,9 @@ def order_by_priority(scored: DataFrame) -> DataFrame:
 
 
 def normalized(feed: DataFrame, rules: Rules) -> DataFrame:
-    return clean.truncate_headline(clean.normalize_articles(feed), rules.max_headline_length)
+    """Valid articles; ``row_hash`` tells the arrivals of one story apart."""
+    articles = clean.truncate_headline(clean.normalize_articles(feed), rules.max_headline_length)
+    return articles.withColumn("row_hash", F.xxhash64(*[F.col(c) for c in articles.columns]))
 
 
 def selected(
@@ -66,24 +68,24 @@ def selected(
     narrow rows are shuffled.
     """
     articles = normalized(feed, rules)
+    order = (*arrival, "row_hash")
     if bodies is None:
         articles = tag_articles(articles, rules, requested).drop(*_TEXTS)
-        articles = dedup.keep_first(articles, "story_id", *arrival)
+        articles = dedup.keep_first(articles, "story_id", *order)
         articles = clean.filter_sources(articles, rules.excluded_sources)
     else:
-        articles = dedup.keep_first(articles.drop(*_TEXTS), "story_id", *arrival)
+        articles = dedup.keep_first(articles.drop(*_TEXTS), "story_id", *order)
         articles = clean.filter_sources(articles, rules.excluded_sources)
         articles = tag_articles(feeds.enrich_bodies(articles, bodies), rules, requested).drop(*_TEXTS)
     return filter_min_score(articles, rules)
 
 
-def with_texts(
-    chosen: DataFrame, feed: DataFrame, rules: Rules, bodies: DataFrame | None = None, arrival: tuple[str, ...] = _FIRST_PUBLISHED
-) -> DataFrame:
-    """Chosen articles with summary and body: only their texts are moved."""
-    key = list(dict.fromkeys(["story_id", *arrival]))
-    texts = clean.filter_sources(normalized(feed, rules), rules.excluded_sources).select(*key, *_TEXTS)
-    joined = dedup.keep_first(chosen.join(texts, key), "story_id", *arrival, *_TEXTS)
+def with_texts(chosen: DataFrame, feed: DataFrame, rules: Rules, bodies: DataFrame | None = None) -> DataFrame:
+    """Chosen articles with the summary and body of the arrival that was chosen."""
+    texts = clean.filter_sources(normalized(feed, rules), rules.excluded_sources)
+    joined = chosen.join(texts.select("story_id", "row_hash", *_TEXTS), ["story_id", "row_hash"])
+    # arrivals that agree in everything meet the same article
+    joined = dedup.keep_first(joined, "story_id", *_TEXTS).drop("row_hash")
     return joined if bodies is None else feeds.enrich_bodies(joined, bodies)
 
 
@@ -114,14 +116,12 @@ def choose_articles(
     window of an article also covers what is stored.
     """
     articles = cut(dedup.exclude_seen(selected(feed, rules, bodies, requested, arrival), stored))
-    headlines = articles.select("story_id", "headline", "published_at")
-    compared = window_of(stored, articles, rules.window_hours).unionByName(headlines)
-    repeats = (
-        neardup.near_duplicates(compared, rules.window_hours, rules.similarity, rules.max_features)
-        .where("is_duplicate")
-        .select("story_id")
-    )
-    fresh = dedup.exclude_seen(articles, repeats)
+    fresh = articles
+    if rules.similarity is not None:
+        headlines = articles.select("story_id", "headline", "published_at")
+        compared = window_of(stored, articles, rules.window_hours).unionByName(headlines)
+        found = neardup.near_duplicates(compared, rules.window_hours, rules.similarity, rules.max_features)
+        fresh = dedup.exclude_seen(articles, found.where("is_duplicate"))
     if profiles is not None:
         fresh = language.detect_language(fresh.drop("language"), profiles).withColumnRenamed("detected", "language")
     return clean.fill_defaults(fresh)
@@ -140,7 +140,7 @@ def run_ingest(
     """Load a feed into the store at ``path`` and count fetched, inserted and failed rows."""
     stored = store.read_articles(feed.sparkSession, path)
     chosen = cut(choose_articles(feed, rules, stored, profiles, bodies, requested, arrival))
-    rows = with_texts(chosen, feed, rules, bodies, arrival).select(
+    rows = with_texts(chosen, feed, rules, bodies).select(
         "story_id",
         "headline",
         "summary",

@@ -70,7 +70,7 @@ class Rules:
     category_minimum: dict = field(default_factory=dict)
     minimum_score: int = 0
     max_headline_length: int = 500
-    similarity: float = 0.85
+    similarity: float | None = 0.85  # None: near-duplicates are stored
     window_hours: int = 24
     max_features: int = 100
 

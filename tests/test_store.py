@@ -201,6 +201,19 @@ def test_run_ingest(spark, tmp_path):
     assert again["articles_inserted"] == 0
 
 
+def test_tags_and_texts_come_from_the_same_arrival(spark):
+    """Arrivals of one story that differ in their texts only."""
+    words = ["copper strike", "zinc price", "tin demand", "nickel supply", "forex report"]
+    rows = [(f"{i}", "Headline", "2024-01-01T10:00:00Z", "NS:ABC", f"{i} {w}") for i in range(8) for w in words] * 2
+    arrived = spark.createDataFrame(rows, "storyId string, text string, versionCreated string, sourceCode string, body string")
+    empty = store.read_articles(spark, "/nowhere/news")
+    chosen = ingest.choose_articles(arrived, Rules(similarity=None), empty)
+    got = ingest.with_texts(chosen, arrived, Rules()).collect()
+    assert len(got) == 8
+    for r in got:
+        assert r.body_text.split()[0] == r.story_id and r.categories == [r.body_text.split()[1].upper()]
+
+
 @pytest.mark.parametrize("page_id, expected", [(5, "DOC000000000005"), (123456789, "DOC000123456789")])
 def test_story_id(spark, page_id, expected):
     assert spark.range(1).select(feed.story_id(F.lit(page_id))).first()[0] == expected
