@@ -78,9 +78,12 @@ def remove_repeats(docs: DataFrame, width: int = 100, blocks: int = 4) -> DataFr
             found = kept if found is None else found.union(kept)
         asked = found.where(F.col("kind") == ASK).groupBy("kind", "bucket").applyInArrow(_by_text, grouped)
         asked = asked.select(*_key_of("ids", "hashes"), F.col("a").alias("asked"))
-        windows = texts.join(asked, ["id", "hash"]).mapInArrow(_windows(width, buckets, doc_buckets), PARTS)
-        decided = windows.groupBy("kind", "bucket").applyInArrow(_decide(width, doc_buckets), PARTS)
-        found = found.where(F.col("kind") == SPAN).union(keep(decided, "windows"))
+        asked_texts = keep(texts.join(asked, ["id", "hash"]), "asked")
+        found = found.where(F.col("kind") == SPAN)
+        for block in range(blocks):
+            rows = asked_texts.mapInArrow(_windows(width, block, blocks, buckets, doc_buckets), PARTS)
+            decided = rows.groupBy("kind", "bucket").applyInArrow(_decide(width, doc_buckets), PARTS)
+            found = found.union(keep(decided, "windows"))
         spans = found.groupBy("kind", "bucket").applyInArrow(_by_text, grouped)
         spans = keep(spans.select(*_key_of("ids", "hashes"), F.col("a").alias("from"), F.col("b").alias("to")), "spans")
 
@@ -350,8 +353,8 @@ def _by_text(table: pa.Table) -> pa.Table:
     return pa.Table.from_arrays(arrays, ["kind", "bucket", *rows])
 
 
-def _windows(width, buckets, doc_buckets):
-    """Ranks of the windows that the asked samples anchor; repeats inside the task are settled."""
+def _windows(width, block, blocks, buckets, doc_buckets):
+    """Ranks of the asked windows of one block of buckets; repeats inside the task are settled."""
 
     def run(batches):
         rolls = WindowHash(2), WindowHash(3)
@@ -369,10 +372,13 @@ def _windows(width, buckets, doc_buckets):
                 continue
             doc, pos = np.concatenate(doc), np.concatenate(pos)
             at = offsets[doc] + pos
-            ranks = []
-            for roll in rolls:
-                roll.read(data)
-                ranks.append(roll.windows(at, at + width))
+            rolls[0].read(data)
+            rank_one = rolls[0].windows(at, at + width)
+            bucket = (rank_one >> np.uint64(20)) % np.uint64(buckets * blocks)
+            mine = bucket // np.uint64(buckets) == block
+            doc, pos, at = doc[mine], pos[mine], at[mine]
+            rolls[1].read(data)
+            ranks = rank_one[mine], rolls[1].windows(at, at + width)
             order = np.lexsort((pos, rank[doc], ranks[1], ranks[0]))
             head = _firsts(ranks[0][order], ranks[1][order])
             later, send = order[~head], order[head]
