@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.llm.tables import keep, partitions, rest, shuffles_dropped
-from newsflow.llm.texthash import WindowHash, chunks, utf8
+from newsflow.llm.texthash import CHUNK_BYTES, WindowHash, chunks, utf8
 
 #: A perfect difference set: every difference modulo 57 comes from one pair of its members.
 PERIOD, COVER = 57, (0, 1, 3, 13, 32, 36, 43, 52)
@@ -39,7 +39,7 @@ LAST_ID = (1 << 63) - 1  # orders rows without an id after all others
 PARTS = "kind int, bucket int, ids binary, hashes binary, doc binary, a binary, b binary, c binary"
 SAMPLE, SPAN, ASK, WINDOW = 0, 1, 2, 3
 _TYPES = {"ids": np.int64, "hashes": np.int64, "doc": np.uint32}
-_SAMPLES_AT_ONCE = 1_500_000  # physical only
+_SAMPLES_AT_ONCE = 1_000_000  # physical only
 
 
 def remove_repeats(docs: DataFrame, width: int = 100, blocks: int = 4) -> DataFrame:
@@ -166,12 +166,12 @@ def _text_order(ids, hashes):
     return rank, first
 
 
-def _read(batches, width) -> Iterator[tuple]:
+def _read(batches, size=CHUNK_BYTES) -> Iterator[tuple]:
     """Ids, hashes, row offsets and bytes of texts, in chunks, with the other columns."""
     for batch in batches:
         ids, hashes = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
         offsets, data = utf8(batch.column(2))
-        for lo, hi in chunks(offsets):
+        for lo, hi in chunks(offsets, size):
             part = data[offsets[lo] : offsets[hi]]
             yield ids[lo:hi], hashes[lo:hi], offsets[lo : hi + 1] - offsets[lo], part, batch.slice(lo, hi - lo)
 
@@ -190,7 +190,7 @@ def _samples(width, block, blocks, buckets, doc_buckets):
             key, context, doc, pos = (np.concatenate([h[i] for h in held]) for i in range(4))
             yield from _settle_samples(width, ids, hashes, key, context, doc, pos, buckets, doc_buckets)
 
-        for ids, hashes, offsets, data, _ in _read(batches, width):
+        for ids, hashes, offsets, data, _ in _read(batches):
             size = np.diff(offsets)
             longest = int(size.max(initial=0))
             if longest >= width:
@@ -358,7 +358,7 @@ def _windows(width, block, blocks, buckets, doc_buckets):
 
     def run(batches):
         rolls = WindowHash(2), WindowHash(3)
-        for ids, hashes, offsets, data, batch in _read(batches, width):
+        for ids, hashes, offsets, data, batch in _read(batches, 500_000):
             asked = [np.frombuffer(x, np.uint32).astype(np.int64) for x in batch.column(3).to_pylist()]
             rank, first = _text_order(ids, hashes)
             size = np.diff(offsets)

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 4_000_000  # texts hashed in one go; physical only, results do not depend on it
+CHUNK_BYTES = 2_000_000  # texts hashed in one go; physical only, results do not depend on it
 
 
 def mix(x: np.ndarray) -> np.ndarray:
