@@ -3,8 +3,8 @@
 1. Texts with equal shingle sets form a class; only one text of a class goes on.
 2. Shingles get one global order, rare ones first, by a fixed-size table of
    counts. Sets that reach the threshold share a shingle of their prefixes.
-3. Classes that share one are compared by length and by 512-bit parity sketches,
-   which bound the symmetric difference from below, so no link is lost. Large
+3. Classes that share one are compared by length and by parity sketches of 512 bits
+   or 0.3 bits per shingle, which bound the symmetric difference from below, so no link is lost. Large
    groups are compared block by block; a task sends a spanning forest, not pairs.
 4. In each cluster of what is left, sets are stored as paths of a prefix tree in
    one order. A set walks the tree, sharing the overlap of common paths, and
@@ -156,6 +156,28 @@ def _digest(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
+def _sketch(shingles: np.ndarray) -> bytes:
+    """Parity of the shingles in each of a power of two of cells: enough to tell unlike sets apart."""
+    size = max(BITS, 1 << int(0.3 * len(shingles)).bit_length())
+    bits = np.bincount(((shingles >> np.uint64(8)) & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(bits.astype(np.uint8)).tobytes()
+
+
+def _differ(sketches: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Lower bounds of the symmetric differences; of unequal sketches the larger is folded."""
+    size = np.array([len(x) for x in sketches])
+    least = np.minimum(size[left], size[right])
+    out = np.zeros(len(left), np.int64)
+    for cells in np.unique(least).tolist():
+        pick = np.flatnonzero(least == cells)
+        rows, place = np.unique(np.concatenate([left[pick], right[pick]]), return_inverse=True)
+        folded = np.stack([np.bitwise_xor.reduce(sketches[r].reshape(-1, cells), axis=0) for r in rows.tolist()])
+        for lo in range(0, len(pick), 1 << 16):
+            a, b = place[: len(pick)][lo : lo + (1 << 16)], place[len(pick) :][lo : lo + (1 << 16)]
+            out[pick[lo : lo + (1 << 16)]] = np.bitwise_count(folded[a] ^ folded[b]).sum(axis=1, dtype=np.int64)
+    return out
+
+
 def _counts(words):
     def run(batches):
         roll, counts = WindowHash(1), np.zeros(CELLS, np.uint32)
@@ -196,8 +218,7 @@ def _sign(words, percent, shared):
                 keep_n = len(s) - -(-percent * len(s) // 100) + 1 if len(s) else 0
                 order = np.argsort(scale[(s >> np.uint64(44)).astype(np.int64)], kind="stable")
                 prefixes.append(s[order[:keep_n]].view(np.int64))
-                bits = np.bincount(((s >> np.uint64(8)) % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
-                sketches.append(np.packbits(bits.astype(np.uint8)).tobytes())
+                sketches.append(_sketch(s))
             ends = np.cumsum([0, *map(len, prefixes)], dtype=np.int32)
             flat = np.concatenate([np.zeros(0, np.int64), *prefixes])
             yield pa.RecordBatch.from_arrays(
@@ -240,9 +261,10 @@ def _forests(percent):
         token, lo, hi, at, node, n = (
             table.column(c).to_numpy() for c in ("token", "lo", "hi", "at", "class", "n")
         )
-        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(len(n), -1)
         order = np.lexsort((at, hi, lo, token))
-        token, lo, hi, at, node, n, sketch = (x[order] for x in (token, lo, hi, at, node, n, sketch))
+        held = table.column("sketch").to_pylist()
+        sketch = [np.frombuffer(held[i], np.uint64) for i in order.tolist()]
+        token, lo, hi, at, node, n = (x[order] for x in (token, lo, hi, at, node, n))
         new = np.r_[True, (token[1:] != token[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])]
         start = np.flatnonzero(new)
         size = np.diff(np.r_[start, len(n)])
@@ -251,8 +273,7 @@ def _forests(percent):
         def near(i, j):
             ok = (node[i] != node[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
             i, j = i[ok], j[ok]
-            differ = np.bitwise_count(sketch[i] ^ sketch[j]).sum(axis=1, dtype=np.int64)
-            ok = differ * (100 + percent) <= (n[i] + n[j]) * (100 - percent)
+            ok = _differ(sketch, i, j) * (100 + percent) <= (n[i] + n[j]) * (100 - percent)
             return i[ok], j[ok]
 
         pairs = [(np.zeros(0, np.int64),) * 2]
@@ -264,8 +285,8 @@ def _forests(percent):
             left = right = np.arange(start[g], start[g] + size[g])
             if lo[start[g]] != hi[start[g]]:  # two blocks: each pair inside a block has its own group
                 left, right = left[at[left] == lo[left]], right[at[right] == hi[right]]
-            for a in left.tolist():
-                pairs.append(near(np.full(len(right), a), right))
+            for part in np.array_split(left, -(-len(left) // 64)) if len(left) else []:
+                pairs.append(near(np.repeat(part, len(right)), np.tile(right, len(part))))
         left, right = (np.concatenate(x) for x in zip(*pairs, strict=True))
         names, place = np.unique(node, return_inverse=True)
         label = _labels(len(names), place[left], place[right])
