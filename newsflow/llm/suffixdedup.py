@@ -119,9 +119,11 @@ def _batch(kind, bucket, ids, hashes, doc, a, b=None, c=None) -> pa.RecordBatch:
 
 def _dealt(kind, at: np.ndarray, ids, hashes, doc, *values) -> Iterator[pa.RecordBatch]:
     """Row groups by the bucket ``at`` of each record."""
+    if not len(at):
+        return
     order = np.argsort(at, kind="stable")
     at = at[order]
-    edges = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else []
+    edges = np.flatnonzero(_firsts(at)).tolist()
     for lo, hi in zip(edges, [*edges[1:], len(at)], strict=True):
         pick = order[lo:hi]
         yield _batch(kind, int(at[lo]), ids, hashes, doc[pick], *[v[pick] for v in values])
