@@ -75,7 +75,7 @@ def _shingles(text):
     return {tuple(words[i : i + 3]) for i in range(len(words) - 2)} if len(words) > 2 else ({tuple(words)} if words else set())
 
 
-@pytest.mark.parametrize("block", [8, 256])
+@pytest.mark.parametrize("block", [64, 256])
 def test_jaccard_against_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(jaccard, "GROUP_BLOCK", block)
     monkeypatch.setattr(jaccard, "CLUSTER_BLOCK", block)
