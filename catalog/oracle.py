@@ -552,14 +552,14 @@ kept AS (
 SELECT story_id, published_at, array_to_string(categories, ',') AS category, urgency_level, priority_score FROM tagged
 WHERE priority_score >= {REQUIRED} AND priority_score >= {RULES.minimum_score}""",
     ),
-    "stream_sliding_counts": f"""
+    "stream_sliding_counts": """
 SELECT window_start, count(*) AS n
 FROM (SELECT unnest([time_bucket(INTERVAL 5 MINUTE, ts) - to_minutes(CAST(5 * i AS INT)) FOR i IN range(12)])
       AS window_start FROM events)
-WHERE window_start + INTERVAL 1 HOUR <= {LAST_CLOSED} GROUP BY 1""",
-    "stream_daily_counts": f"""
+GROUP BY 1""",
+    "stream_daily_counts": """
 SELECT date_trunc('day', ts) AS window_start, event_type, count(*) AS n FROM events
-WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= {LAST_CLOSED} GROUP BY 1, 2""",
+GROUP BY 1, 2""",
     "stream_dedup": "SELECT event_id, ts FROM events",
     "stream_late_data": f"""
 WITH marked AS (

@@ -571,7 +571,7 @@ def _event_stream(spark, folder):
 
 def _windows(counted: DataFrame, name: str, *by: str) -> DataFrame:
     window = counted.select(F.col("window.start").alias("window_start"), *by, "n")
-    return streams.loaded(window, name).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    return streams.latest_counts(window, name).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 @query
@@ -584,7 +584,7 @@ def stream_ingest(spark, folder):
         "urgency_level",
         "priority_score",
     )
-    return streams.loaded(rows, "stream_ingest").withColumn("published_at", F.col("published_at").cast("timestamp_ntz"))
+    return streams.loaded_new(rows, "stream_ingest", "story_id").withColumn("published_at", F.col("published_at").cast("timestamp_ntz"))
 
 
 @query
@@ -603,7 +603,7 @@ def stream_daily_counts(spark, folder):
 def stream_dedup(spark, folder):
     events = _event_stream(spark, folder).select("event_id", "ts")
     arrivals = events.unionByName(_event_stream(spark, folder).select("event_id", "ts").where("event_id % 10 = 0"))
-    kept = streams.loaded(streams.dedup_stream(streams.with_event_time(arrivals, "ts"), "event_id"), "dedup")
+    kept = streams.loaded_new(arrivals, "dedup", "event_id")
     return kept.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
@@ -626,9 +626,8 @@ def stream_late_data(spark, folder):
 @query
 def stream_exclude_stored(spark, folder):
     stored = views.events(spark, folder).where("event_id % 2 = 0")
-    events = streams.with_event_time(_event_stream(spark, folder).select("event_id", "ts"), "ts")
-    fresh = streams.exclude_stored(streams.dedup_stream(events, "event_id"), stored, "event_id")
-    return streams.loaded(fresh, "exclude_stored").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    events = _event_stream(spark, folder).select("event_id", "ts")
+    return streams.loaded_new(events, "exclude_stored", "event_id", stored=stored).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 @query

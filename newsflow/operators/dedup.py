@@ -12,12 +12,13 @@ from newsflow.operators.ordered import last_before, running_totals
 
 
 def keep_first(df: DataFrame, key: list[str] | str, *order: Column | str) -> DataFrame:
-    """One row per key, the first in ``order``.
+    """One row per key, the first in ``order``, or without one that of the smallest row hash.
 
     Spark limits each key to one row before the shuffle, so a key with very
     many copies sends one row per input partition.
     """
     keys = [key] if isinstance(key, str) else key
+    order = order or (F.xxhash64(*df.columns),)
     first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_rn", first).where(F.col("_rn") == 1).drop("_rn")
 

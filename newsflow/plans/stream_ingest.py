@@ -1,4 +1,7 @@
-"""The ingest job as a stream: tagged articles, one per story, appended by date."""
+"""The ingest job as a stream: tagged articles, one per story, appended by date.
+
+Store the rows with :func:`newsflow.streaming.streams.store_new`, which keeps one per story.
+"""
 
 from __future__ import annotations
 
@@ -8,13 +11,11 @@ from pyspark.sql import functions as F
 from newsflow.operators import clean
 from newsflow.plans.ingest import filter_min_score, tag_articles
 from newsflow.rules import Rules
-from newsflow.streaming import streams
 
 
 def ingest_stream(feed: DataFrame, rules: Rules) -> DataFrame:
-    """Valid, tagged and de-duplicated articles of a feed stream."""
+    """Valid and tagged articles of a feed stream, repeats included."""
     articles = clean.truncate_headline(clean.normalize_articles(feed), rules.max_headline_length)
     articles = clean.filter_sources(articles, rules.excluded_sources)
-    articles = streams.dedup_stream(streams.with_event_time(articles, "published_at"), "story_id")
     tagged = filter_min_score(tag_articles(articles, rules), rules)
     return tagged.withColumn("published_date", F.to_date("published_at"))

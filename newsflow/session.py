@@ -27,7 +27,7 @@ def shared_folder(spark: SparkSession) -> str:
     if folder is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not sc.master.startswith("local"):
+            if not (sc.master == "local" or sc.master.startswith("local[")):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="newsflow-")
         sc.setCheckpointDir(folder)

@@ -12,7 +12,6 @@ from newsflow.schema import STORED_ARTICLE
 from newsflow.session import cut
 
 DEFAULT_COUNT = 100
-MAX_COUNT = 500
 
 
 # -- reads ---------------------------------------------------------------------------------
@@ -24,12 +23,12 @@ def read_articles(spark: SparkSession, path: str) -> DataFrame:
     Columns that older files lack are NULL. The schema is given, so no file is
     opened to find it.
     """
-    if not _exists(spark, path):
+    if not exists(spark, path):
         return spark.createDataFrame([], STORED_ARTICLE)
     return spark.read.schema(STORED_ARTICLE).parquet(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
@@ -40,13 +39,16 @@ def scan_latest(
     start=None,
     end=None,
     predicate: Column | None = None,
-    max_count: int = MAX_COUNT,
+    max_count: int | None = None,
 ) -> DataFrame:
-    """The newest rows of a range; at most ``max_count`` of them."""
+    """The newest ``count`` rows of a range; a count above the caller's ``max_count`` is an error."""
+    count = DEFAULT_COUNT if count is None else count
+    if max_count is not None and count > max_count:
+        raise ValueError(f"{count} rows asked for, {max_count} allowed")
     articles = filter_date_range(articles, start, end)
     if predicate is not None:
         articles = articles.where(predicate)
-    return articles.orderBy(F.desc("published_at"), "story_id").limit(min(count or DEFAULT_COUNT, max_count))
+    return articles.orderBy(F.desc("published_at"), "story_id").limit(count)
 
 
 def backfill_range(articles: DataFrame, start, end, *arrival: str) -> DataFrame:
@@ -100,8 +102,9 @@ def ingest_counts(batch: DataFrame, store: DataFrame) -> DataFrame:
 
 
 def append_articles(rows: DataFrame, path: str) -> None:
-    """Append to the store, partitioned by date; large dates are split over tasks, small ones joined."""
+    """Append the columns of the store, partitioned by date; large dates are split over tasks, small ones joined."""
     dated = rows.withColumn("published_date", F.to_date("published_at"))
+    dated = dated.select(*[c for c in STORED_ARTICLE.names if c in dated.columns])
     by_date(dated).write.mode("append").partitionBy("published_date").parquet(path)
 
 
@@ -113,13 +116,12 @@ def by_date(rows: DataFrame) -> DataFrame:
 def insert_only(batch: DataFrame, path: str, *arrival: str, as_of=None) -> dict[str, int]:
     """Store the new stories of a batch and count them. A repeated call stores nothing."""
     spark = batch.sparkSession
-    store = read_articles(spark, path)
-    counts = ingest_counts(batch, store).first().asDict()
-    rows = new_rows(batch, store, *arrival)
+    rows = cut(new_rows(batch, read_articles(spark, path), *arrival))  # what is counted is what is written
+    total, inserted = batch.count(), rows.count()
     if as_of is not None:
         rows = rows.withColumns({"created_at": F.lit(as_of), "updated_at": F.lit(as_of)})
     append_articles(rows, path)
-    return counts
+    return {"total_processed": total, "inserted_count": inserted, "failed_count": total - inserted}
 
 
 def ingest_by_category(matched: DataFrame, store: DataFrame, categories: str = "categories") -> DataFrame:
@@ -149,30 +151,46 @@ def ingest_by_category(matched: DataFrame, store: DataFrame, categories: str = "
 # -- changes -------------------------------------------------------------------------------
 
 
-def update_by_key(articles: DataFrame, updates: DataFrame, as_of: Column) -> DataFrame:
-    """Articles with the given columns changed and ``updated_at`` set.
+def update_by_key(articles: DataFrame, updates: DataFrame, as_of: Column, *order: Column | str) -> DataFrame:
+    """Articles with the given columns changed, also to NULL, and ``updated_at`` set.
 
-    Columns that articles do not have are ignored, as are unknown stories;
-    NULL changes nothing.
+    Columns that articles do not have are ignored, as are unknown stories. Of several
+    updates for one story the first in ``order`` counts (without one, that of the
+    smallest row hash). A changed ``published_at`` changes ``published_date``.
     """
-    changed = [c for c in updates.columns if c in articles.columns and c not in ("story_id", "updated_at")]
+    own = ("story_id", "updated_at", "published_date")
+    changed = [c for c in updates.columns if c in articles.columns and c not in own]
+    updates = keep_first(updates, "story_id", *order)
     new = updates.select("story_id", *[F.col(c).alias(f"_new_{c}") for c in changed], F.lit(True).alias("_hit"))
     joined = articles.join(new, "story_id", "left")
-    values = {c: F.coalesce(f"_new_{c}", c) for c in changed}
-    values["updated_at"] = F.when(F.col("_hit"), as_of).otherwise(F.col("updated_at"))
-    return joined.withColumns(values).select(*articles.columns)
+    hit = F.col("_hit").isNotNull()
+    joined = joined.withColumns({c: F.when(hit, F.col(f"_new_{c}")).otherwise(F.col(c)) for c in changed})
+    joined = joined.withColumn("updated_at", F.when(hit, as_of).otherwise(F.col("updated_at")))
+    if "published_date" in articles.columns:
+        joined = joined.withColumn("published_date", F.to_date("published_at"))
+    return joined.select(*articles.columns)
 
 
-def apply_updates(spark: SparkSession, path: str, updates: DataFrame, as_of: Column) -> None:
-    """Update the store in place: only dates that hold an updated story are rewritten.
+def apply_updates(spark: SparkSession, path: str, updates: DataFrame, as_of: Column, *order: Column | str) -> None:
+    """Update the store in place: only dates that an updated story leaves or enters are rewritten.
 
     The new rows are written to the shared folder first, since a path cannot be
-    read and overwritten at once.
+    read and overwritten at once. A date whose last story moved away loses its folder.
     """
     stored = read_articles(spark, path)
-    dates = stored.join(updates.select("story_id"), "story_id", "left_semi").select("published_date").distinct()
-    touched = cut(update_by_key(stored.join(dates, "published_date", "left_semi"), updates, as_of))
+    hits = stored.join(updates.select("story_id").distinct(), "story_id", "left_semi")
+    left = hits.select("published_date").distinct()
+    entered = update_by_key(hits, updates, as_of, *order).select("published_date").distinct()
+    dates = cut(left.union(entered).distinct())
+    touched = cut(update_by_key(stored.join(dates, "published_date", "left_semi"), updates, as_of, *order))
     _rewrite(touched, path)
+    for row in dates.join(touched, "published_date", "left_anti").toLocalIterator():
+        _drop_date(spark, path, row.published_date)
+
+
+def _drop_date(spark: SparkSession, path: str, date) -> None:
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/published_date={date}")
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
 
 
 def _rewrite(rows: DataFrame, path: str) -> None:

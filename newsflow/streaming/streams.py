@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from newsflow.operators.dedup import exclude_seen, keep_first
 from newsflow.session import scratch_path
+from newsflow.sources.store import exists
 
 LATENESS = "1 hour"
 POLL = "5 minutes"
-_SALTS = 16
 
 
 def read_table_stream(spark: SparkSession, folder: str, name: str, schema: T.StructType) -> DataFrame:
@@ -28,16 +29,6 @@ def with_event_time(stream: DataFrame, time: str, lateness: str = LATENESS) -> D
     return stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, lateness)
 
 
-def dedup_stream(stream: DataFrame, key: str) -> DataFrame:
-    """One row per key among the arrivals within the watermark.
-
-    Copies of one key are first reduced in several groups, so that a key with
-    very many copies does not load one task with all of them.
-    """
-    salted = stream.withColumn("_salt", F.floor(F.rand(seed=7) * _SALTS).cast("int"))
-    return salted.dropDuplicatesWithinWatermark([key, "_salt"]).drop("_salt").dropDuplicatesWithinWatermark([key])
-
-
 def sliding_counts(stream: DataFrame, time: str, *by: str | Column) -> DataFrame:
     """Rows of the last hour, every five minutes."""
     return stream.groupBy(F.window(time, "1 hour", POLL), *by).agg(F.count("*").alias("n"))
@@ -54,8 +45,6 @@ def hourly_counts(stream: DataFrame, time: str, *by: str | Column) -> DataFrame:
 
 def exclude_stored(stream: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not stored: the stored table is read again for each batch.
-
-    Remove repeats first (:func:`dedup_stream`), so that no key has many rows here.
     """
     ids = stored.select(F.col(key).alias("_stored")).distinct()
     return stream.join(ids, F.col(key) == F.col("_stored"), "left_outer").where(F.col("_stored").isNull()).drop("_stored")
@@ -83,21 +72,57 @@ def loaded(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{path}/table")
 
 
-def running_totals(stream: DataFrame, by: str, name: str) -> DataFrame:
-    """Running counts per ``by``, as of all rows that are there.
+def store_new(
+    stream: DataFrame, path: str, checkpoint: str, key: str, *order: str | Column, stored: DataFrame | None = None,
+    partition_by: tuple[str, ...] = (), every: str | None = None,
+) -> StreamingQuery:
+    """Append the first row of each key that neither ``path`` nor ``stored`` holds, however late it comes.
 
-    The result holds one row per rule category, so the memory sink can keep it.
+    No watermark decides what is stored, so the keys do not depend on how the input is
+    cut into batches. A batch that is run again finds its rows stored. Without ``every``
+    the query handles what is there and stops; else it runs a batch so often.
     """
-    counts = stream.groupBy(by).agg(F.count("*").alias("n"))
-    view = scratch_path(stream.sparkSession, name)
-    table = view.rsplit("/", 1)[1].replace("-", "_")
-    query = (
-        counts.writeStream.format("memory")
-        .queryName(table)
-        .option("checkpointLocation", f"{view}/checkpoint")
-        .outputMode("complete")
-        .trigger(availableNow=True)
-        .start()
-    )
+
+    def put(batch: DataFrame, _: int) -> None:
+        rows = keep_first(batch, key, *order)
+        if exists(batch.sparkSession, path):
+            rows = exclude_seen(rows, batch.sparkSession.read.schema(stream.schema).parquet(path), key)
+        if stored is not None:
+            rows = exclude_seen(rows, stored, key)
+        rows.write.mode("append").partitionBy(*partition_by).parquet(path)
+
+    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(put)
+    if every:
+        return writer.trigger(processingTime=every).start()
+    query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
-    return stream.sparkSession.table(table)
+    return query
+
+
+def loaded_new(stream: DataFrame, name: str, key: str, *order: str | Column, stored: DataFrame | None = None) -> DataFrame:
+    """:func:`store_new` over all that is there, into a scratch table; returns the table."""
+    path = scratch_path(stream.sparkSession, name)
+    store_new(stream, f"{path}/table", f"{path}/checkpoint", key, *order, stored=stored)
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/table")
+
+
+def latest_counts(counts: DataFrame, name: str) -> DataFrame:
+    """The last value of ``n`` for each group of a counting stream, open windows included.
+
+    Each batch appends the groups it changed, with its number; nothing passes through the driver.
+    """
+    spark, path = counts.sparkSession, scratch_path(counts.sparkSession, name)
+    keys = [c for c in counts.columns if c != "n"]
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.withColumn("_batch", F.lit(number)).write.mode("append").parquet(f"{path}/table")
+
+    writer = counts.writeStream.option("checkpointLocation", f"{path}/checkpoint").outputMode("update")
+    writer.foreachBatch(put).trigger(availableNow=True).start().awaitTermination()
+    changes = spark.read.schema(counts.schema.add("_batch", "long")).parquet(f"{path}/table")
+    return changes.groupBy(*keys).agg(F.max_by("n", "_batch").alias("n"))
+
+
+def running_totals(stream: DataFrame, by: str, name: str) -> DataFrame:
+    """Running counts per ``by``, as of all rows that are there."""
+    return latest_counts(stream.groupBy(by).agg(F.count("*").alias("n")), name)

@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as entry
+from catalog.oracle import ORACLE
+from catalog.queries import QUERIES
 from check import connect, differences
 
 FOLDER = "/root/testdata/sf0.001"
@@ -14,10 +16,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
     """The same rows, from a plan without products of rows and without Python."""
     df = entry.queries()[name](spark, FOLDER)

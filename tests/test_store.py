@@ -62,6 +62,21 @@ def test_update_in_place_rewrites_touched_dates_only(spark, tmp_path):
     assert before == {p.name for p in (tmp_path / "store" / "published_date=2024-01-01").glob("*.parquet")}
 
 
+def test_updates_keep_one_row_move_dates_and_set_null(spark, tmp_path):
+    path = str(tmp_path / "store")
+    rows = [("1", "a", datetime(2024, 1, 1)), ("2", "b", datetime(2024, 1, 2)), ("3", "c", datetime(2024, 1, 2))]
+    df = spark.createDataFrame(rows, "story_id string, headline string, published_at timestamp_ntz")
+    store.append_articles(df.withColumns({"updated_at": F.col("published_at"), "colour": F.lit("red")}), path)
+    moved = [("1", None, datetime(2024, 3, 1)), ("2", "x", datetime(2024, 3, 1)), ("2", "x", datetime(2024, 3, 1))]
+    updates = spark.createDataFrame(moved, "story_id string, headline string, published_at timestamp_ntz")
+    store.apply_updates(spark, path, updates, as_of())
+    got = {(r.story_id, r.headline, str(r.published_date)) for r in store.read_articles(spark, path).collect()}
+    assert got == {("1", None, "2024-03-01"), ("2", "x", "2024-03-01"), ("3", "c", "2024-01-02")}
+    assert store.read_articles(spark, path).count() == 3
+    assert "colour" not in spark.read.parquet(path).columns
+    assert store.backfill_range(store.read_articles(spark, path), datetime(2024, 1, 1), datetime(2024, 4, 1)).count() == 3
+
+
 def test_older_files_lack_a_column(spark, tmp_path):
     path = str(tmp_path / "store")
     rows = spark.createDataFrame([("1", DAY, 7), ("2", DAY, None)], "story_id string, published_at timestamp_ntz, priority_score int")
@@ -95,9 +110,12 @@ def test_retention_keeps_the_cutoff(spark, tmp_path):
     assert store.read_articles(spark, new_path).count() == 2
 
 
-def test_latest_is_capped_and_filtered(spark):
+def test_latest_gives_what_is_asked_for(spark):
     df = batch(spark, *[f"{i:03d}" for i in range(600)])
-    assert store.scan_latest(df, 1000).count() == 500
+    assert store.scan_latest(df, 1000).count() == 600
+    assert store.scan_latest(df, 0).count() == 0
+    with pytest.raises(ValueError):
+        store.scan_latest(df, 1000, max_count=500)
     assert store.scan_latest(df).count() == 100
     assert store.scan_latest(df, 5, predicate=F.col("story_id") > "597").count() == 2
 

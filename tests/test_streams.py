@@ -43,16 +43,16 @@ def test_a_poll_reads_only_what_is_new(spark):
     path = scratch_path(spark, "dedup-test")
     source, table, checkpoint = (f"{path}/{p}" for p in ("source", "table", "checkpoint"))
     arrive(spark, source, ("a", 0), ("b", 1), ("a", 2))
-    streams.poll(streams.dedup_stream(stream(spark, source), "story_id"), table, checkpoint)
+    streams.store_new(stream(spark, source), table, checkpoint, "story_id")
     arrive(spark, source, ("b", 3), ("c", 4))
-    streams.poll(streams.dedup_stream(stream(spark, source), "story_id"), table, checkpoint)
+    streams.store_new(stream(spark, source), table, checkpoint, "story_id")
     assert sorted(r.story_id for r in spark.read.parquet(table).collect()) == ["a", "b", "c"]
 
 
 def test_many_copies_of_one_story(spark):
     path = scratch_path(spark, "hot-test")
     arrive(spark, path, *[("hot", m % 50) for m in range(2000)], *[(str(i), i % 50) for i in range(1000)])
-    kept = streams.loaded(streams.dedup_stream(stream(spark, path), "story_id"), "hot")
+    kept = streams.loaded_new(stream(spark, path), "hot", "story_id")
     assert (kept.count(), kept.where("story_id = 'hot'").count()) == (1001, 1)
 
 
@@ -87,7 +87,7 @@ def test_ingest_stream(spark):
     schema = "storyId string, text string, versionCreated string, sourceCode string"
     spark.createDataFrame(rows, schema).write.parquet(path)
     feed = spark.readStream.schema(schema).parquet(path)
-    stored = streams.loaded(ingest_stream(feed, Rules()), "ingest")
+    stored = streams.loaded_new(ingest_stream(feed, Rules()), "ingest", "story_id")
     got = {r.story_id: (r.source, r.categories, r.priority_score, str(r.published_date)) for r in stored.collect()}
     assert got == {
         "1": ("Reuters", ["COPPER"], 10, "2024-01-01"),
@@ -95,6 +95,17 @@ def test_ingest_stream(spark):
     }
 
 
+def test_what_is_stored_does_not_depend_on_the_batches(spark):
+    """Days that arrive newest first, one file a batch, with repeats of other days."""
+    path = scratch_path(spark, "batches")
+    for day in (5, 3, 4, 1, 2):
+        arrive(spark, f"{path}/source", (f"s{day}", 1440 * day), (f"s{day % 3}", 1440 * (day % 3)))
+    schema = spark.read.parquet(f"{path}/source").schema
+    for files in (1, 100):
+        rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(f"{path}/source")
+        assert sorted(r.story_id for r in streams.loaded_new(rows, "batches", "story_id").collect()) == ["s0", "s1", "s2", "s3", "s4", "s5"]
+
+
 def test_continuous_load(spark):
     path = scratch_path(spark, "start-test")
     source, table, checkpoint = (f"{path}/{p}" for p in ("source", "table", "checkpoint"))
