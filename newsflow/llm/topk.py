@@ -20,6 +20,7 @@ from pyspark.sql.window import Window
 from newsflow.llm.tables import keep, shuffles_dropped
 
 SHARD_ROWS, BLOCK_QUERIES, LEAF_ROWS = 16_384, 4_096, 128
+_NONE = np.iinfo(np.int64).min  # the score of an empty place
 _FOUND = "query_id long, vec_id long, score long"
 
 
@@ -145,6 +146,7 @@ def _search_tree(ids, vectors, own, queries, floors, k):
     limit = float(np.abs(vectors).max(initial=0)) * float(np.abs(queries).max(initial=0)) * vectors.shape[1]
     exact = limit < 2**52
     points, asks = (vectors.astype(float), queries.astype(float)) if exact else (vectors, queries)
+    packs = limit < 2**42 and n < 1 << 20
     tree = _BallTree(vectors.astype(float))
     real = queries.astype(float)
     bound = real @ tree.centre.T + np.sqrt((real**2).sum(axis=1))[:, None] * tree.radius
@@ -152,7 +154,7 @@ def _search_tree(ids, vectors, own, queries, floors, k):
     bound[:, tree.radius < 0] = -np.inf
     open_bound = np.full(bound.shape, -np.inf)
     open_bound[:, 0] = bound[:, 0]
-    score = np.full((m, k), np.iinfo(np.int64).min, np.int64)
+    score = np.full((m, k), _NONE, np.int64)
     place = np.full((m, k), n, np.int64)
     kth = floors.copy()
     live = np.arange(m)
@@ -171,15 +173,18 @@ def _search_tree(ids, vectors, own, queries, floors, k):
         for part in np.split(np.arange(len(who)), np.flatnonzero(np.diff(leaves)) + 1) if len(who) else []:
             q, members = who[part], np.sort(tree.members[int(leaves[part[0]])])
             scores = (asks[q] @ points[members].T).astype(np.int64)
-            scores[own[q][:, None] == ids[members][None, :]] = np.iinfo(np.int64).min
+            scores[own[q][:, None] == ids[members][None, :]] = _NONE
             both = np.concatenate([score[q], scores], axis=1)
             places = np.concatenate([place[q], np.broadcast_to(members, scores.shape)], axis=1)
-            # a leaf's few rows: sort by place, then stably by score
-            by_place = np.argsort(places, axis=1, kind="stable")
-            both, places = np.take_along_axis(both, by_place, 1), np.take_along_axis(places, by_place, 1)
-            top = np.argsort(~both, axis=1, kind="stable")[:, :k]  # ~x falls as x grows, without overflow
+            if packs:  # one whole number orders by score, then by smaller place
+                key = np.where(both == _NONE, _NONE, (both << 20) | ((1 << 20) - 1 - places))
+                top = np.argpartition(key, -k, axis=1)[:, -k:]
+            else:
+                by_place = np.argsort(places, axis=1, kind="stable")
+                both, places = np.take_along_axis(both, by_place, 1), np.take_along_axis(places, by_place, 1)
+                top = np.argsort(~both, axis=1, kind="stable")[:, :k]  # ~x falls as x grows, without overflow
             score[q], place[q] = np.take_along_axis(both, top, 1), np.take_along_axis(places, top, 1)
-            last = score[q, -1]
-            kth[q] = np.where(last > np.iinfo(np.int64).min, np.maximum(floors[q], last), kth[q])
-    row, col = np.nonzero((score > np.iinfo(np.int64).min) & (score >= floors[:, None]))
+            last = score[q].min(axis=1)
+            kth[q] = np.where(last > _NONE, np.maximum(floors[q], last), kth[q])
+    row, col = np.nonzero((score > _NONE) & (score >= floors[:, None]))
     return np.stack([own[row], ids[place[row, col]], score[row, col]])
