@@ -30,9 +30,11 @@ def remove_repeated_chunks(docs: DataFrame, least_lines: int = 2) -> DataFrame:
     an empty table gives an empty table.
     """
     keyed = with_chunks(docs.select("doc_id", W.text_of("text").alias("_text")))
-    parts = keyed.select(*_key("_text"), F.posexplode("_chunks").alias("place", "chunk"))
-    many = F.length("chunk") - F.length(F.translate("chunk", "\n", "")) >= least_lines - 1
-    parts = parts.where(many & W.has_word(F.col("chunk")))
+    keyed = keyed.select(*_key("_text"), "_chunks")  # before they are listed: else each chunk carries and hashes its whole text
+    # not the bare column: Spark would infer a filter on its size, push it down and chunk each text once per line
+    listed = F.transform("_chunks", lambda c, i: F.struct(i.alias("place"), c.alias("chunk")))
+    long = lambda c: F.length(c) - F.length(F.translate(c, "\n", "")) >= least_lines - 1
+    parts = keyed.select("id", "hash", F.inline(F.filter(listed, lambda x: long(x["chunk"]) & W.has_word(x["chunk"]))))
     at = F.struct(F.col("id").isNull().alias("none"), "id", "hash", "place")
     met = parts.groupBy("chunk").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first <> last")
     # the bytes have been compared; the chunk's SHA-256 leads back to its places without the text
