@@ -12,19 +12,22 @@ import heapq
 import json
 import re
 from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsflow.llm.tables import rest
+from newsflow.llm.tables import rest, small_batches
 
 #: Fixed value: the pattern that splits text before merging, as byte-level BPE files imply it.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-WORDS_KEPT = 500_000  # words remembered between batches of a task; physical only
+WORDS_KEPT = 200_000  # words remembered between batches of a task; physical only
+PIECE_BYTES, PIECE_IDS = 4 << 20, 1 << 20  # of the rows encoded and decoded at a time, one row at least; physical only
 
 
 def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -50,6 +53,7 @@ def decode(rows: DataFrame, tokenizer: str) -> DataFrame:
 
 
 def _mapped(df, other, new, run):
+    small_batches(df.sparkSession)
     held = df.select(F.struct(*other).alias("row"))
     name = new.split()[0]
     schema = f"row {held.schema['row'].dataType.simpleString()}, {new}"
@@ -66,6 +70,26 @@ def _letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+def _pieces(batches: Iterable[pa.RecordBatch], sizes, limit: int) -> Iterator[pa.RecordBatch]:
+    """``batches`` in slices of one row, or of rows whose ``sizes`` add up to ``limit`` at most."""
+    for batch in batches:
+        ends = np.cumsum(sizes(batch))
+        low = 0
+        while low < batch.num_rows:
+            done = ends[low - 1] if low else 0
+            high = max(low + 1, int(np.searchsorted(ends, done + limit, "right")))
+            yield batch.slice(low, high - low)
+            low = high
+
+
+def _text_bytes(batch: pa.RecordBatch) -> np.ndarray:
+    return pc.fill_null(pc.binary_length(batch.column(0).field("text")), 0).to_numpy().astype(np.int64)
+
+
+def _id_counts(batch: pa.RecordBatch) -> np.ndarray:
+    return np.diff(batch.column(0).field("ids").offsets.to_numpy().astype(np.int64))
+
+
 class Vocabulary:
     """Ranks and bytes of a tokenizer file."""
 
@@ -199,7 +223,7 @@ def _encode(path):
         merger, split = Merger(vocabulary), splitter(vocabulary)
         number: dict = defaultdict(count().__next__)  # of each distinct word met
         ids, ends = np.zeros(0, np.int64), np.zeros(1, np.int64)
-        for batch in batches:
+        for batch in _pieces(batches, _text_bytes, PIECE_BYTES):
             if len(number) > WORDS_KEPT:
                 number = defaultdict(count().__next__)
                 ids, ends = np.zeros(0, np.int64), np.zeros(1, np.int64)
@@ -232,7 +256,7 @@ def _decode(path):
         data = np.frombuffer(b"".join(pieces), np.uint8)
         length = np.array([len(p) for p in pieces], np.int64)
         start = np.cumsum(length) - length
-        for batch in batches:
+        for batch in _pieces(batches, _id_counts, PIECE_IDS):
             column = batch.column(0).field("ids")
             offsets = column.offsets.to_numpy().astype(np.int64)
             lists = np.diff(offsets)

@@ -12,6 +12,8 @@ from newsflow.session import scratch_path
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def keep(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: later steps start from files."""
@@ -34,6 +36,12 @@ def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(_CLEANUP, before)
 
 
+def small_batches(spark: SparkSession, size: str = "16m") -> None:
+    """Let Python tasks of this session take Arrow batches of about ``size``, unless the user set a size."""
+    if spark.conf.get(_BATCH, None) in (None, "-1"):
+        spark.conf.set(_BATCH, size)
+
+
 def rest(df: DataFrame, *names: str) -> list[Column]:
     """Columns of ``df`` other than ``names``."""
     return [F.col(f"`{c}`") for c in df.columns if c not in names]

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -126,6 +127,14 @@ def test_tokens_equal_the_library(spark):
         assert row.decoded == want
 
 
+def test_pieces_hold_all_rows_within_the_limit():
+    texts = ["ab", None, "", "x" * 50, "é", "abc", "d"]
+    batch = pa.RecordBatch.from_arrays([pa.array([{"text": t} for t in texts])], ["row"])
+    pieces = list(bpe._pieces([batch, batch.slice(0, 0)], bpe._text_bytes, 5))
+    assert [r["row"]["text"] for p in pieces for r in p.to_pylist()] == texts
+    assert [p.num_rows for p in pieces] == [3, 1, 2, 1]
+
+
 @pytest.mark.parametrize("rows_at_once", [60, 5000])
 def test_topk_against_brute_force(spark, monkeypatch, rows_at_once):
     monkeypatch.setattr(topk, "SHARD_ROWS", rows_at_once)
