@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsflow.llm.tables import keep, partitions, rest, shuffles_dropped
+from newsflow.llm.tables import keep, partitions, rest, shuffles_dropped, small_batches
 from newsflow.llm.texthash import CHUNK_BYTES, WindowHash, chunks, utf8
 
 #: A perfect difference set: every difference modulo 57 comes from one pair of its members.
@@ -58,6 +58,7 @@ def remove_repeats(docs: DataFrame, width: int = 100, blocks: int = 4) -> DataFr
     if width < PERIOD:
         raise ValueError(f"width must be at least {PERIOD}")
     spark = docs.sparkSession
+    small_batches(spark)
     texts = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"),
         F.xxhash64("text").alias("hash"),
