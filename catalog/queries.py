@@ -82,10 +82,31 @@ def incremental_since_hwm(spark, folder):
     return store.since_high_water(events, stored, views.as_of(), "ts").select("event_id", "ts")
 
 
+def _store_of(articles, name):
+    """A new store below the shared folder."""
+    path = scratch_path(articles.sparkSession, name)
+    store.append_articles(articles, path)
+    return path
+
+
+def _event_store(spark, folder):
+    """The events as stored articles, their types as sources."""
+    events = views.events(spark, folder)
+    kept = events.select(F.col("event_id").cast("string").alias("story_id"), F.col("event_type").alias("source"), F.col("ts").alias("published_at"))
+    return _store_of(kept, "events")
+
+
 @query
 def ingest_insert_only(spark, folder):
+    """A load into a store that holds every third article; the second one finds nothing new."""
     articles = views.feed(spark, folder)
-    return store.ingest_counts(views.overlap(articles), articles.where("doc_id % 3 = 0"))
+    path = _store_of(articles.where("doc_id % 3 = 0"), "insert_only")
+    before = store.read_articles(spark, path).count()
+    counts = store.insert_only(views.overlap(articles), path, "arrival")
+    again = store.insert_only(views.overlap(articles), path, "arrival")["inserted_count"]
+    inserted, total = store.read_articles(spark, path).count() - before + again, counts["total_processed"]
+    row = (total, inserted, total - inserted)
+    return spark.createDataFrame([row], "total_processed long, inserted_count long, failed_count long")
 
 
 def _by_category(spark, folder):
@@ -124,11 +145,12 @@ def fetch_log(spark, folder):
 @query
 def evolve_add_column(spark, folder):
     articles = views.tagged(spark, folder)
-    older = articles.where("doc_id % 2 = 0").select("story_id")
+    path = _store_of(articles.where("doc_id % 2 = 0").select("story_id", "published_at"), "evolved")
     newer = articles.where("doc_id % 2 = 1").select(
-        "story_id", F.when(F.col("doc_id") % 4 != 1, F.col("priority_score")).alias("priority_score")
+        "story_id", "published_at", F.when(F.col("doc_id") % 4 != 1, F.col("priority_score")).alias("priority_score")
     )
-    return store.evolve_add_column(older, newer, "priority_score", 0)
+    store.append_articles(newer, path)
+    return store.read_articles(spark, path).select("story_id", "priority_score")
 
 
 @query
@@ -270,26 +292,40 @@ def fill_defaults(spark, folder):
 @query
 def update_by_key(spark, folder):
     articles = views.feed(spark, folder).select(
-        "story_id", "headline", F.col("published_at").alias("updated_at"), "doc_id"
+        "story_id", "headline", "published_at", F.col("published_at").alias("updated_at"), "doc_id"
     )
+    path = _store_of(articles, "updated")
     updates = articles.where("doc_id % 7 = 0").select(
         F.when(F.col("doc_id") < 8, F.concat("story_id", F.lit("-none"))).otherwise(F.col("story_id")).alias("story_id"),
         F.concat(F.lit("Updated: "), "headline").alias("headline"),
         F.lit("ignored").alias("colour"),
     )
-    return store.update_by_key(articles.drop("doc_id"), updates, views.as_of())
+    store.apply_updates(spark, path, updates, views.as_of())
+    return store.read_articles(spark, path).select("story_id", "headline", "updated_at")
 
 
 @query
 def delete_cascade(spark, folder):
+    """Every eleventh article goes from a store, with its links; the rest is read back."""
     articles = views.feed(spark, folder)
-    return store.delete_report(articles, views.links(spark, folder), articles.where("doc_id % 11 = 0"))
+    path, links = _store_of(articles, "deleted"), scratch_path(spark, "links")
+    views.links(spark, folder).write.parquet(links)
+    gone = store.apply_delete(spark, path, articles.where("doc_id % 11 = 0"), links)
+    rows = [
+        ("news_articles", store.read_articles(spark, path).count(), gone["articles_deleted"]),
+        ("news_rics", spark.read.parquet(links).count(), gone["links_deleted"]),
+    ]
+    return spark.createDataFrame(rows, "table_name string, remaining long, deleted long")
 
 
 @query
 def retention_cleanup(spark, folder):
     cutoff = fields.hours_before(views.as_of(), 14 * 24)
-    return store.retention_report(views.events(spark, folder), cutoff, "ts")
+    path = _event_store(spark, folder)
+    deleted = store.retention_report(store.read_articles(spark, path), cutoff).first().deleted
+    store.apply_retention(spark, path, cutoff)
+    left = store.read_articles(spark, path)
+    return left.agg(F.count("*").alias("kept"), F.lit(deleted).alias("deleted"), F.min("published_at").alias("oldest_kept"))
 
 
 # -- joins ---------------------------------------------------------------------------------
@@ -666,4 +702,4 @@ def category_report(spark, folder):
 @query
 def weekly_maintenance(spark, folder):
     cutoff = fields.hours_before(views.as_of(), 14 * 24)
-    return maintenance.weekly_maintenance(views.events(spark, folder), cutoff, "ts", "event_type")
+    return maintenance.weekly_maintenance(spark, _event_store(spark, folder), cutoff)

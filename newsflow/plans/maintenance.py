@@ -1,22 +1,24 @@
-"""The weekly job: drop what is too old, then report what is left."""
+"""The weekly job: drop what is too old from the store, then report what is left."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsflow.functions.fields import micros
+from newsflow.sources import store
 
 
-def weekly_maintenance(rows: DataFrame, cutoff: Column, time: str, group: str) -> DataFrame:
-    """Retention and statistics of what is kept, in one pass: ``metric, value``."""
-    kept = F.col(time) >= cutoff
+def weekly_maintenance(spark: SparkSession, path: str, cutoff: Column) -> DataFrame:
+    """Retention in place, and statistics of what the store then holds: ``metric, value``."""
+    deleted = store.retention_report(store.read_articles(spark, path), cutoff).first().deleted
+    store.apply_retention(spark, path, cutoff)
     measures = {
-        "deleted": F.count_if(F.col(time) < cutoff),
-        "kept": F.count_if(kept),
-        "sources": F.count_distinct(F.when(kept, F.col(group))),
-        "earliest_epoch_s": F.floor(F.min(F.when(kept, micros(F.col(time)))) / 1_000_000),
-        "latest_epoch_s": F.floor(F.max(F.when(kept, micros(F.col(time)))) / 1_000_000),
+        "deleted": F.lit(deleted),
+        "kept": F.count("*"),
+        "sources": F.count_distinct("source"),
+        "earliest_epoch_s": F.floor(F.min(micros(F.col("published_at"))) / 1_000_000),
+        "latest_epoch_s": F.floor(F.max(micros(F.col("published_at"))) / 1_000_000),
     }
-    row = rows.agg(*[m.cast("bigint").alias(name) for name, m in measures.items()])
+    row = store.read_articles(spark, path).agg(*[m.cast("bigint").alias(name) for name, m in measures.items()])
     return row.unpivot([], list(measures), "metric", "value")

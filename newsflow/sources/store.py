@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsflow.functions.fields import hours_before, plus_seconds
-from newsflow.operators.clean import filter_date_range
+from newsflow.operators.clean import fill_defaults, filter_date_range
 from newsflow.operators.dedup import keep_first
 from newsflow.schema import STORED_ARTICLE
 from newsflow.session import cut
@@ -20,12 +22,12 @@ DEFAULT_COUNT = 100
 def read_articles(spark: SparkSession, path: str) -> DataFrame:
     """The stored articles; an empty table where nothing is stored yet.
 
-    Columns that older files lack are NULL. The schema is given, so no file is
-    opened to find it.
+    Columns that older files lack, and values that are missing, have the defaults
+    of the store. The schema is given, so no file is opened to find it.
     """
     if not exists(spark, path):
         return spark.createDataFrame([], STORED_ARTICLE)
-    return spark.read.schema(STORED_ARTICLE).parquet(path)
+    return fill_defaults(spark.read.schema(STORED_ARTICLE).parquet(path))
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -188,8 +190,9 @@ def apply_updates(spark: SparkSession, path: str, updates: DataFrame, as_of: Col
         _drop_date(spark, path, row.published_date)
 
 
-def _drop_date(spark: SparkSession, path: str, date) -> None:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/published_date={date}")
+def _drop_date(spark: SparkSession, path: str, day: date | None) -> None:
+    name = "__HIVE_DEFAULT_PARTITION__" if day is None else day
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/published_date={name}")
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
 
 
@@ -246,9 +249,66 @@ def retention_report(df: DataFrame, cutoff: Column, time: str = "published_at")
     )
 
 
-def apply_retention(spark: SparkSession, path: str, new_path: str, cutoff: Column) -> None:
-    """Write the retained rows as a new snapshot; whole dates before the cutoff are never read."""
+def stored_dates(spark: SparkSession, path: str) -> list[date]:
+    """The dates that have a folder in the store, oldest first; no file is opened.
+
+    Rows without a time lie in a folder of their own, which is not listed.
+    """
+    if not exists(spark, path):
+        return []
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folders = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(jvm_path)
+    names = [f.getPath().getName() for f in folders if f.isDirectory()]
+    days = [n.removeprefix("published_date=") for n in names if n.startswith("published_date=")]
+    return sorted(date.fromisoformat(d) for d in days if d != "__HIVE_DEFAULT_PARTITION__")
+
+
+def apply_retention(spark: SparkSession, path: str, cutoff: Column) -> None:
+    """Drop the rows before ``cutoff`` from the store in place.
+
+    Folders of whole dates before it go unread, and only the date of the cutoff is
+    rewritten. Rows without a time stay. A repeated call changes nothing.
+    """
+    boundary = spark.range(1).select(F.to_date(cutoff)).first()[0]
+    for day in stored_dates(spark, path):
+        if day < boundary:
+            _drop_date(spark, path, day)
+        elif day == boundary:
+            held = read_articles(spark, path).where(F.col("published_date") == boundary)
+            gone = held.where(~(F.col("published_at") >= cutoff))
+            if not gone.isEmpty():
+                _replace(spark, cut(retain(held, cutoff)), path, [day])
+
+
+def apply_delete(spark: SparkSession, path: str, keys: DataFrame, links_path: str | None = None) -> dict[str, int]:
+    """Delete stories from the store in place, with their links, and count the rows that went.
+
+    Only dates that hold a deleted story are rewritten. ``links_path`` is an
+    unpartitioned Parquet table with ``story_id``; it is rewritten if links go. Unknown
+    stories delete nothing. Links go first, so that a repeated call finds what is left.
+    """
     stored = read_articles(spark, path)
-    kept = stored.where(F.col("published_date") >= F.to_date(cutoff))
-    kept = retain(kept, cutoff)
-    by_date(kept).write.partitionBy("published_date").parquet(new_path)
+    gone = cut(stored.join(keys.select("story_id").distinct(), "story_id", "left_semi").select("story_id", "published_date"))
+    counts = {"articles_deleted": gone.count(), "links_deleted": 0}
+    if links_path is not None and exists(spark, links_path):
+        links = spark.read.parquet(links_path)
+        left = cut(delete_by_key(links, gone))
+        counts["links_deleted"] = links.count() - left.count()
+        if counts["links_deleted"]:
+            left.write.mode("overwrite").parquet(links_path)
+    days = [r.published_date for r in gone.select("published_date").distinct().toLocalIterator()]
+    if days:
+        touched = F.col("published_date").isin([d for d in days if d is not None])
+        if None in days:
+            touched = touched | F.col("published_date").isNull()
+        _replace(spark, cut(delete_by_key(stored.where(touched), gone)), path, days)
+    return counts
+
+
+def _replace(spark: SparkSession, rows: DataFrame, path: str, days: list) -> None:
+    """The rows of ``days`` become ``rows``; a date without rows loses its folder."""
+    _rewrite(rows, path)
+    left = {r.published_date for r in rows.select("published_date").distinct().toLocalIterator()}
+    for day in days:
+        if day not in left:
+            _drop_date(spark, path, day)

@@ -18,6 +18,10 @@ def as_of():
     return F.lit("2024-02-01").cast("timestamp_ntz")
 
 
+def files(folder):
+    return {str(f.relative_to(folder)) for f in folder.glob("*/*.parquet")}
+
+
 def batch(spark, *ids, text="Test Headline"):
     return spark.createDataFrame([(i, f"{text} {i}", DAY, n) for n, i in enumerate(ids)], ARTICLE)
 
@@ -83,7 +87,7 @@ def test_older_files_lack_a_column(spark, tmp_path):
     store.append_articles(rows.where("story_id = '2'").drop("priority_score"), path)
     store.append_articles(rows.where("story_id = '1'"), path)
     stored = store.read_articles(spark, path)
-    assert {r.story_id: r.priority_score for r in stored.collect()} == {"1": 7, "2": None}
+    assert {r.story_id: r.priority_score for r in stored.collect()} == {"1": 7, "2": 0}
     evolved = store.evolve_add_column(stored.where("false").drop("priority_score"), stored, "priority_score", 0)
     assert {r.story_id: r.priority_score for r in evolved.collect()} == {"1": 7, "2": 0}
 
@@ -104,10 +108,33 @@ def test_retention_keeps_the_cutoff(spark, tmp_path):
     df = spark.createDataFrame([(str(i), "h", t) for i, t in enumerate(times)], "story_id string, headline string, published_at timestamp_ntz")
     row = store.retention_report(df, cutoff).first()
     assert (row.kept, row.deleted, row.oldest_kept) == (2, 1, datetime(2023, 1, 1))
-    path, new_path = str(tmp_path / "a"), str(tmp_path / "b")
+    path = str(tmp_path / "a")
     store.append_articles(df, path)
-    store.apply_retention(spark, path, new_path, cutoff)
-    assert store.read_articles(spark, new_path).count() == 2
+    before = files(tmp_path / "a")
+    for _ in range(2):
+        store.apply_retention(spark, path, cutoff)
+        assert {r.story_id for r in store.read_articles(spark, path).collect()} == {"1", "2"}
+    assert files(tmp_path / "a") == {f for f in before if "2022" not in f}
+    store.apply_retention(spark, path, F.lit("2023-01-01 10:00:00").cast("timestamp_ntz"))
+    assert [str(d) for d in store.stored_dates(spark, path)] == ["2023-01-02"]
+    store.append_articles(df.where("story_id = '0'").withColumn("published_at", F.lit(None).cast("timestamp_ntz")), path)
+    store.apply_retention(spark, path, F.lit("2023-01-02 10:00:00").cast("timestamp_ntz"))
+    assert [r.story_id for r in store.read_articles(spark, path).collect()] == ["0"]
+
+
+def test_delete_in_place(spark, tmp_path):
+    path, links_path = str(tmp_path / "a"), str(tmp_path / "links")
+    rows = [("1", datetime(2024, 1, 1)), ("2", datetime(2024, 1, 2)), ("3", datetime(2024, 1, 2)), ("4", None), ("5", datetime(2024, 1, 3))]
+    store.append_articles(spark.createDataFrame(rows, "story_id string, published_at timestamp_ntz"), path)
+    spark.createDataFrame([("1", "CU"), ("3", "ZN"), ("3", "TIN"), ("9", "AL")], "story_id string, ric_code string").write.parquet(links_path)
+    kept = {f for f in files(tmp_path / "a") if "2024-01-03" in f or "2024-01-01" in f}
+    keys = spark.createDataFrame([("2",), ("3",), ("3",), ("4",), ("9",)], "story_id string")
+    assert store.apply_delete(spark, path, keys, links_path) == {"articles_deleted": 3, "links_deleted": 2}
+    assert {r.story_id for r in store.read_articles(spark, path).collect()} == {"1", "5"}
+    assert files(tmp_path / "a") == kept
+    assert {r.story_id for r in spark.read.parquet(links_path).collect()} == {"1", "9"}
+    assert store.apply_delete(spark, path, keys, links_path) == {"articles_deleted": 0, "links_deleted": 0}
+    assert store.apply_delete(spark, str(tmp_path / "none"), keys)["articles_deleted"] == 0
 
 
 def test_latest_gives_what_is_asked_for(spark):
