@@ -46,7 +46,7 @@ def test_tagging_does_not_shuffle(spark):
 
 def test_columns_and_filters_reach_the_scan(spark):
     text = plan(QUERIES["retention_cleanup"](spark, FOLDER))
-    assert "ReadSchema: struct<ts:timestamp_ntz>" in text
+    assert "ReadSchema: struct<published_at:timestamp_ntz>" in text
     text = plan(store.lookup(table(spark, FOLDER, "pages").withColumnRenamed("url", "story_id").select("story_id"), ["a"]))
     assert "PushedFilters: [IsNotNull(url), EqualTo(url,a)]" in text
     text = plan(QUERIES["incremental_since_hwm"](spark, FOLDER))
