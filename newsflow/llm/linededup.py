@@ -1,7 +1,9 @@
-"""Line dedup by content-defined chunks, in DataFrame functions only.
+"""Line dedup by content-defined chunks or by pairs of lines, in DataFrame functions only.
 
 A line ends a chunk where a rolling hash over it and the line before says so.
-Boundaries depend on those two lines alone, so text that moves keeps its chunks.
+Boundaries depend on those two lines alone, so text that moves keeps its chunks, but
+a passage of few lines mostly shares its chunks with its neighbours. Pairs of
+neighbouring lines have no boundaries to miss: each repeated passage is made of them.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from newsflow.llm.tables import keep, rest
 MEAN_LINES = 4  # one line in so many ends a chunk
 FACTOR, MODULUS = 1_000_003, 2_147_483_647
 NEW = ("n_lines", "n_removed_lines", "n_chunks", "n_removed_chunks", "clean_text")
+NEW_PASSAGES = ("n_lines", "n_removed_lines", "clean_text")
 
 
 def remove_repeated_chunks(docs: DataFrame, least_lines: int = 2) -> DataFrame:
@@ -65,6 +68,50 @@ def remove_repeated_chunks(docs: DataFrame, least_lines: int = 2) -> DataFrame:
     return rows.select("row.*", *NEW)
 
 
+def remove_repeated_passages(docs: DataFrame) -> DataFrame:
+    """``docs(doc_id, text, ...)`` with ``clean_text``: passages of two lines or more met before are removed.
+
+    Two lines with words, with none but blank lines between them, are a pair; a pair met
+    before goes with the blank lines inside. Of equal pairs that of the smallest ``doc_id``
+    (null last), then of the text smaller as hash, then the first in its text stays; lines
+    are removed by the union of their pairs. So every line of a repeated passage goes, wherever
+    it stands, and the first copy of each line of the table stays. Pairs are equal if
+    their bytes have the same SHA-256.
+
+    Nulls, repeated rows and columns named as in ``NEW_PASSAGES`` are handled as in
+    :func:`remove_repeated_chunks`.
+    """
+    lines = docs.select("doc_id", W.text_of("text").alias("_text")).select(*_key("_text"), W.lines(F.col("_text")).alias("_lines"))
+    placed = F.transform("_lines", lambda x, i: F.struct(i.alias("at"), x.alias("line")))
+    worded = lines.select("id", "hash", F.filter(placed, lambda x: W.has_word(x["line"])).alias("_worded"))
+    n = F.greatest(F.size("_worded") - 1, F.lit(0))
+    code = lambda a, b: F.unhex(F.sha2(F.concat(a["line"], F.lit("\n"), b["line"]).cast("binary"), 256))
+    pair = lambda a, b: F.struct(a["at"].alias("place"), b["at"].alias("upto"), code(a, b).alias("code"))
+    pairs = F.zip_with(F.slice("_worded", 1, n), F.slice("_worded", 2, n), pair)
+    pairs = keep(worded.select("id", "hash", F.inline(pairs)), "pairs")  # narrow: no text
+    at = F.struct(F.col("id").isNull().alias("none"), "id", "hash", "place")
+    met = pairs.groupBy("code").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first <> last")
+    found = keep(met.select("code", "first"), "passages")
+    again = pairs.alias("p").join(found.alias("f"), F.col("p.code") == F.col("f.code")).where(at_of("p") != F.col("f.first"))
+    gone = again.groupBy("p.id", "p.hash").agg(F.collect_set(F.struct("p.place", "p.upto")).alias("_spans"))
+    places = F.flatten(F.transform("_spans", lambda x: F.sequence(x["place"], x["upto"])))
+    gone = gone.select("id", "hash", F.sort_array(F.array_distinct(places)).alias("_gone"))
+
+    held = docs.select(F.struct(*rest(docs, *NEW_PASSAGES)).alias("row"), W.text_of("text").alias("_text"), "doc_id")
+    held = held.select("row", "_text", *_key("_text"))
+    on = F.col("h.id").eqNullSafe(F.col("g.id")) & (F.col("h.hash") == F.col("g.hash"))
+    rows = held.alias("h").join(gone.alias("g"), on, "left").select("row", "_text", "_gone")
+    left = F.array_join(W.without_lines(W.lines(F.col("_text")), F.col("_gone")), "\n")
+    rows = rows.withColumns(
+        {
+            "n_lines": _n_lines(F.col("_text")),
+            "n_removed_lines": F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(F.size("_gone")).cast("long"),
+            "clean_text": F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(left),
+        }
+    )
+    return rows.select("row.*", *NEW_PASSAGES)
+
+
 def at_of(alias: str) -> Column:
     id_ = F.col(f"{alias}.id")
     return F.struct(id_.isNull().alias("none"), id_.alias("id"), F.col(f"{alias}.hash").alias("hash"), F.col(f"{alias}.place").alias("place"))

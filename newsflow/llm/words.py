@@ -40,3 +40,11 @@ def has_word(line: Column) -> Column:
 
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, _UPPER, _LOWER)
+
+
+def without_lines(lines_: Column, gone: Column) -> Column:
+    """Lines but those at the places ``gone`` (sorted, distinct, from 0). Linear in the lines."""
+    last = lambda i: F.coalesce(F.get(gone, i - 1), F.lit(-1))
+    steps = F.transform(gone, lambda at, i: F.concat(F.array_repeat(F.lit(True), at - last(i) - 1), F.array(F.lit(False))))
+    marked = F.zip_with(lines_, F.flatten(steps), lambda x, stays: F.struct(x.alias("x"), F.coalesce(stays, F.lit(True)).alias("stays")))
+    return F.transform(F.filter(marked, lambda m: m["stays"]), lambda m: m["x"])
