@@ -9,6 +9,7 @@ from newsflow.llm import words as W
 from newsflow.llm.tables import keep, rest
 
 BROADCAST_LINES = 200_000  # at most so many common lines (8 bytes each) are broadcast
+HOST_LINES = 1_000  # a host's common lines are looked up as one list up to this size, else met line by line
 NEW = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_common_words", "clean_text", "kept")
 
 
@@ -20,11 +21,14 @@ def quality_rules(
     common_docs: int = 10,
     common_percent: int = 10,
     left_percent: int = 30,
+    enough_docs: int | None = None,
 ) -> DataFrame:
     """``docs(doc_id, text, host, ...)`` with the counts, the verdict ``kept`` and ``clean_text``.
 
     A line is common if more than ``common_docs`` and more than ``common_percent`` %
-    of the distinct documents of its host have it. Lines are compared normalised:
+    of the distinct documents of its host have it. With ``enough_docs``, a line that more
+    distinct documents of its host have is common whatever its share: that limit does
+    not grow with the host. Lines are compared normalised:
     trimmed, lower-cased, digits as 0, white space as one space; copies of a
     whole text are one document. Common lines are removed (``clean_text``), and a
     document that keeps less than ``left_percent`` % of its words is rejected, as is
@@ -35,17 +39,25 @@ def quality_rules(
     added columns; columns of these names are replaced. Repeated rows are judged
     alike. An empty table gives an empty table.
     """
-    common = common_lines(docs, host, common_docs, common_percent)
+    common = common_lines(docs, host, common_docs, common_percent, enough_docs)
     text = W.text_of("text")
     other = rest(docs, *NEW)
     rows = docs.select(F.struct(*other).alias("row"), text.alias("_text"), F.col(f"`{host}`").alias("_host"))
-    hosts = common.groupBy("host").agg(F.collect_set("line").alias("_common"))  # a host has at most its mean lines / share
-    if common.count() <= BROADCAST_LINES:
-        hosts = F.broadcast(hosts)
-    rows = rows.join(hosts, F.col("_host").eqNullSafe(F.col("host")), "left")
-    pure = ~F.coalesce(F.size("_common") > 0, F.lit(False))
-    clean = F.array_join(F.filter(W.lines(F.col("_text")), lambda x: ~F.array_contains("_common", line_hash(x))), "\n")
-    rows = rows.select("row", "_text", F.when(pure, F.col("_text")).otherwise(clean).alias("clean_text"), pure.alias("_pure"))
+    sizes = common.groupBy("host").count().agg(F.coalesce(F.sum("count"), F.lit(0)).alias("all"), F.coalesce(F.max("count"), F.lit(0)).alias("most"))
+    size = sizes.first()
+    if size["most"] <= HOST_LINES:
+        hosts = common.groupBy("host").agg(F.collect_set("line").alias("_common"))
+        hosts = F.broadcast(hosts) if size["all"] <= BROADCAST_LINES else hosts
+        rows = rows.join(hosts, F.col("_host").eqNullSafe(F.col("host")), "left")
+        pure = ~F.coalesce(F.size("_common") > 0, F.lit(False))
+        clean = F.filter(W.lines(F.col("_text")), lambda x: ~F.array_contains("_common", line_hash(x)))
+    else:
+        common = F.broadcast(common) if size["all"] <= BROADCAST_LINES else common
+        rows = _with_common_places(rows, common)
+        pure = F.col("_gone").isNull()
+        clean = W.without_lines(W.lines(F.col("_text")), F.col("_gone"))
+    clean = F.when(pure, F.col("_text")).otherwise(F.array_join(clean, "\n"))
+    rows = rows.select("row", "_text", clean.alias("clean_text"), pure.alias("_pure"))
     rows = with_base_counts(rows)
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > repeat_percent * F.col("n_words"))
     gone = F.when(F.col("_pure"), F.lit(0).cast("long")).otherwise(F.col("n_words") - W.n_words(F.col("clean_text")))
@@ -59,7 +71,18 @@ def line_hash(line: Column) -> Column:
     return F.xxhash64(F.trim(plain))
 
 
-def common_lines(docs: DataFrame, host: str, common_docs: int, common_percent: int) -> DataFrame:
+def _with_common_places(rows: DataFrame, common: DataFrame) -> DataFrame:
+    """``rows(_text, _host, ...)`` with ``_gone``: the sorted places of common lines, null if there are none."""
+    rows = rows.withColumn("_hash", F.md5(F.col("_text").cast("binary")))
+    placed = F.transform(W.lines(F.col("_text")), lambda x, i: F.struct(i.alias("place"), W.has_word(x).alias("word"), line_hash(x).alias("line")))
+    lines = rows.select("_host", "_hash", F.inline(F.filter(placed, lambda x: x["word"])))
+    met = lines.alias("l").join(common.alias("c"), (F.col("l.line") == F.col("c.line")) & F.col("l._host").eqNullSafe(F.col("c.host")))
+    gone = met.groupBy("l._host", "l._hash").agg(F.sort_array(F.collect_set("l.place")).alias("_gone"))
+    on = F.col("r._host").eqNullSafe(F.col("g._host")) & (F.col("r._hash") == F.col("g._hash"))
+    return rows.alias("r").join(gone.alias("g"), on, "left").select("r.row", "r._text", "g._gone")
+
+
+def common_lines(docs: DataFrame, host: str, common_docs: int, common_percent: int, enough_docs: int | None = None) -> DataFrame:
     """``(host, line)``: hashes of the lines above the limits, with words in them."""
     held = docs.select(F.col(f"`{host}`").alias("host"), W.text_of("text").alias("text"))
     held = held.select("host", F.xxhash64("text").alias("doc"), W.lines(F.col("text")).alias("lines"))
@@ -70,7 +93,8 @@ def common_lines(docs: DataFrame, host: str, common_docs: int, common_percent: i
     total = held.groupBy("host").agg(F.countDistinct("doc").alias("total"))
     seen = keep(seen, "lines")
     above = seen.alias("s").join(total.alias("t"), F.col("s.host").eqNullSafe(F.col("t.host")))
-    above = above.where(100 * F.col("docs") > common_percent * F.col("total"))
+    enough = F.lit(False) if enough_docs is None else F.col("docs") > enough_docs
+    above = above.where((100 * F.col("docs") > common_percent * F.col("total")) | enough)
     return keep(above.select(F.col("s.host").alias("host"), "line"), "common")
 
 
