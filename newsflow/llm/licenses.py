@@ -44,6 +44,7 @@ TEMPLATES = {
     "LGPL": (
         "Licensed under the GNU Lesser General Public License, version 2.1.",
         "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License",
         "SPDX-License-Identifier: LGPL-2.1-or-later",
     ),
     "BSD": (
@@ -70,7 +71,52 @@ TEMPLATES = {
         "Dedicated to the public domain under CC0 1.0.",
         "To the extent possible under law, the author has waived all copyright and related rights to this work.",
     ),
+    "AGPL": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License",
+        "Licensed under the GNU Affero General Public License, version 3.",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+    ),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+        "Licensed under the ISC license.",
+        "SPDX-License-Identifier: ISC",
+    ),
+    "EPL": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+        "Licensed under the Eclipse Public License, version 2.0.",
+        "SPDX-License-Identifier: EPL-2.0",
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain.",
+        "SPDX-License-Identifier: Unlicense",
+    ),
+    "zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable",
+        "Released under the zlib license.",
+        "SPDX-License-Identifier: Zlib",
+    ),
 }
+#: What each family is called, as runs of whole words.
+NAMES = {
+    "Apache": ("apache license", "apache licence", "apache 2 0", "apache software license"),
+    "MIT": ("mit license", "mit licence", "mit licensed", "identifier mit", "license mit", "licence mit"),
+    "GPL": ("gnu general public license", "gnu general public licence", "gnu gpl", "gplv2", "gplv3", "gpl 2 0", "gpl 3 0", "gpl version", "gpl v2", "gpl v3", "gpl license"),
+    "LGPL": ("lesser general public license", "lesser general public licence", "library general public license", "gnu lgpl", "lgplv2", "lgplv3", "lgpl 2 1", "lgpl 3 0", "lgpl version", "lgpl license"),
+    "AGPL": ("affero general public license", "affero general public licence", "gnu agpl", "agplv3", "agpl 3 0", "agpl version", "agpl license"),
+    "BSD": ("bsd license", "bsd licence", "bsd 2 clause", "bsd 3 clause", "2 clause bsd", "3 clause bsd"),
+    "MPL": ("mozilla public license", "mozilla public licence", "mpl 1 1", "mpl 2 0", "mplv2"),
+    "EPL": ("eclipse public license", "eclipse public licence", "epl 1 0", "epl 2 0"),
+    "ISC": ("isc license", "isc licence", "identifier isc"),
+    "Unlicense": ("the unlicense", "identifier unlicense"),
+    "zlib": ("zlib license", "zlib licence", "identifier zlib"),
+    "CC-BY-NC": ("cc by nc", "creative commons attribution noncommercial", "creative commons attribution non commercial"),
+    "CC-BY": ("cc by", "creative commons attribution"),
+    "CC0": ("cc0 1 0", "cc0 license", "creative commons zero"),
+}
+#: A name inside a longer one of another family does not count.
+WIDER = {"CC-BY": ("CC-BY-NC",)}
+CONTEXT = 8  # words on either side of a notice that the classifier sees
+REACH = 9  # lines before and after an anchor that may belong to its notice
 #: Sentences on licences that grant none.
 PLAIN = (
     "You need a license to drive a car in this country.", "The licence fee was paid in full last year.",
@@ -132,7 +178,7 @@ def training_paragraphs(docs: DataFrame, sample: int, seed: int) -> list[tuple[s
 
     out = [(UNKNOWN, p) for p in plain]
     for family, texts in TEMPLATES.items():
-        for t in texts:
+        for t in (*texts, *NAMES[family]):
             out += [(family, t)] * 10
             for _ in range(30):
                 own = t.split()
@@ -202,12 +248,138 @@ def closeness(words: list[str], family: str) -> float:
     return best
 
 
+def confirmed(words: list[str], family: str, close: float) -> bool:
+    """Whether a paragraph holds a name of the family or, naming no other, ``close`` of a template."""
+    says = named(words)
+    return family in says if says else closeness(words, family) >= close
+
+
+def _pairs(words: list[str]) -> set[tuple[str, str]]:
+    return set(zip(words, words[1:], strict=False))
+
+
+def _forms() -> list[tuple[str, frozenset, float]]:
+    """Family, word pairs and the share of them that a notice needs; all pairs of a name."""
+    out = [(f, frozenset(_pairs(_words(t))), False) for f, texts in TEMPLATES.items() for t in texts]
+    out += [(f, tuple(n.split()), True) for f, names in NAMES.items() for n in names]
+    return out
+
+
+def anchors(close: float) -> dict[str, list]:
+    """Rarely met words, one of which every notice holds, with the forms they lead to.
+
+    A notice misses at most a share of 1 - ``close`` of its template's pairs; so it holds one of any
+    larger set of them, here of those with the longest words. Of a name it holds all words.
+    """
+    out: dict[str, list] = {}
+    for form in _forms():
+        family, parts, name = form
+        if name:
+            out.setdefault(max(parts, key=len) if len(parts) > 1 else parts[0], []).append(form)
+            continue
+        n = len(parts) - int(np.ceil(close * len(parts) - 1e-9)) + 1
+        longest = sorted(parts, key=lambda p: (-max(map(len, p)), p))[:n]
+        for p in longest:
+            held = out.setdefault(max(p, key=len), [])
+            if form not in held:
+                held.append(form)
+    return out
+
+
+def named(words: list[str]) -> set[str]:
+    """The families whose names are in a run of words."""
+    text = f" {' '.join(words)} "
+    found = {f for f, names in NAMES.items() if any(f" {n} " in text for n in names)}
+    return {f for f in found if not found & set(WIDER.get(f, ()))}
+
+
+def notices_at(run: list[list[str]], at: int, forms: list, close: float) -> set[tuple[int, int, str, int, int, int]]:
+    """Notices around line ``at`` of a run of lines, each the words of one line.
+
+    First and last line of each, its family, and its first and last word in the run's lines from
+    ``at - REACH`` on. The fewest lines are taken that hold as much of a form as all lines in reach do.
+    """
+    low = max(0, at - REACH)
+    lines = run[low : at + REACH + 1]
+    flat = [w for x in lines for w in x]
+    line_of = [low + i for i, x in enumerate(lines) for _ in x]
+    text = list(zip(flat, flat[1:], strict=False))
+    out = set()
+    for family, parts, name in forms:
+        if name:
+            k = len(parts)
+            spans = [(i, i + k - 1) for i in range(len(flat) - k + 1) if tuple(flat[i : i + k]) == parts and line_of[i] <= at <= line_of[i + k - 1]]
+        else:
+            met = [i for i, p in enumerate(text) if p in parts]
+            if len({text[i] for i in met}) < close * len(parts):
+                continue
+            spans = [(lo, hi + 1) for lo, hi in _tightest(text, met, parts)]
+        for lo, hi in spans:
+            out.add((line_of[lo], line_of[hi], family, max(0, lo - CONTEXT), hi + CONTEXT + 1, low))
+    return out
+
+
+def _tightest(text, met, parts):
+    """The shortest stretch that holds as many different pairs of ``parts`` as all of ``met``."""
+    whole, count, left, best = len({text[i] for i in met}), {}, 0, None
+    for i in met:
+        count[text[i]] = count.get(text[i], 0) + 1
+        while len(count) == whole:
+            j = met[left]
+            if best is None or i - j < best[1] - best[0]:
+                best = (j, i)
+            count[text[j]] -= 1
+            if not count[text[j]]:
+                del count[text[j]]
+            left += 1
+    return [best]
+
+
+def joined_notices(lines: list[str], model: Model, leads: dict[str, list], close: float) -> list[tuple[int, int, str, float]]:
+    """First and last line, family and probability of the notices of a text, also across line ends.
+
+    Lines without a word part the runs that are joined. A notice counts if it holds a name of its family or
+    ``close`` of a template, and the classifier, shown it with ``CONTEXT`` words around it, believes
+    in a licence. Where names are held, only the named families count.
+    """
+    held = [_words(x) for x in lines]
+    found, run, start = set(), [], 0
+    for i, words in enumerate([*held, []]):
+        if words:
+            run.append(words)
+            continue
+        for at, x in enumerate(run):
+            forms = {id(f): f for w in set(x) & leads.keys() for f in leads[w]}
+            if forms:
+                low = max(0, at - REACH)
+                flat = [w for y in run[low : at + REACH + 1] for w in y]
+                for a, b, family, lo, hi, _ in notices_at(run, at, list(forms.values()), close):
+                    found.add((start + a, start + b, family, " ".join(flat[lo:hi])))
+        run, start = [], i + 1
+    if not found:
+        return []
+    found = sorted(found)
+    score = _probabilities(*features([x[3] for x in found]), model)
+    unknown = model.families.index(UNKNOWN)
+    best: list[tuple[int, int, str, float]] = []
+    for (a, b, family, words), p in zip(found, score, strict=True):
+        says = named(words.split())
+        if 1 - p[unknown] >= model.least and (not says or family in says):
+            best.append((a, b, family, float(1 - p[unknown])))
+    # one notice per family and stretch of lines: the longest, then the most probable
+    out: list[tuple[int, int, str, float]] = []
+    for x in sorted(best, key=lambda x: (x[0] - x[1], -x[3], x)):
+        if not any(x[2] == y[2] and x[0] <= y[1] and y[0] <= x[1] for y in out):
+            out.append(x)
+    return sorted(out)
+
+
 def predict(paragraphs: list[str], model: Model, close: float = 0.6) -> list[tuple[str, float]]:
     """Family and probability of each paragraph; ``unknown`` unless believed and confirmed."""
     best, sure = _classify(*features(paragraphs), model)
     out = []
     for p, b, s in zip(paragraphs, best.tolist(), sure.tolist(), strict=True):
-        known = model.families[b] != UNKNOWN and s >= model.least and closeness(_words(p), model.families[b]) >= close
+        known = model.families[b] != UNKNOWN and s >= model.least and confirmed(_words(p), model.families[b], close)
         out.append((model.families[b] if known else UNKNOWN, s))
     return out
 
@@ -215,11 +387,15 @@ def predict(paragraphs: list[str], model: Model, close: float = 0.6) -> list[tup
 def _classify(flat, ends, model):
     if len(ends) < 2:
         return np.zeros(0, np.int64), np.zeros(0)
-    score = np.add.reduceat(model.weights[flat], ends[:-1], axis=0) / np.sqrt(np.diff(ends))[:, None]
-    sure = _softmax(score / model.temperature)
+    sure = _probabilities(flat, ends, model)
     return sure.argmax(axis=1), sure.max(axis=1)
 
 
+def _probabilities(flat, ends, model):
+    score = np.add.reduceat(model.weights[flat], ends[:-1], axis=0) / np.sqrt(np.diff(ends))[:, None]
+    return _softmax(score / model.temperature)
+
+
 def scan_licenses(docs: DataFrame, model: Model | None = None, sample: int = 100, seed: int = 7, close: float = 0.6) -> DataFrame:
     """``docs(doc_id, text, ...)`` with ``n_paragraphs``, ``licenses`` and ``license_paragraphs``.
 
@@ -249,7 +425,8 @@ def _scan(shared, close):
     kind = pa.list_(pa.struct([("place", pa.int32()), ("family", pa.string()), ("probability", pa.float64()), ("paragraph", pa.string())]))
 
     def run(batches):
-        model, roll = shared.value, WindowHash(4)
+        model, roll, leads = shared.value, WindowHash(4), anchors(close)
+        hint = re.compile(rb"(?<![0-9a-z\x80-\xff])(?:" + b"|".join(re.escape(w.encode()) for w in sorted(leads)) + rb")(?![0-9a-z\x80-\xff])")
         for batch in batches:
             offsets, data = utf8(batch.column(0).field("text"))
             n, found = [], []
@@ -265,10 +442,26 @@ def _scan(shared, close):
                 notices = [[] for _ in range(hi - lo)]
                 for i in np.flatnonzero(some & (best < len(model.families) - 1) & (sure >= model.least)).tolist():
                     paragraph, family = part[cuts[i] : cuts[i + 1]].tobytes().decode().rstrip("\n"), model.families[best[i]]
-                    if closeness(_words(paragraph), family) >= close:
+                    if confirmed(_words(paragraph), family, close):
                         place = int(i - first[text[i]])
                         notices[text[i]].append({"place": place, "family": family, "probability": float(sure[i]), "paragraph": paragraph})
+                for t in range(hi - lo):
+                    raw = part[at[t] : at[t + 1]].tobytes()
+                    if hint.search(raw.lower()):
+                        _add_joined(notices[t], raw.decode().split("\n"), model, leads, close)
                 found.extend(notices)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(found, kind)], ["row", "n_paragraphs", "license_paragraphs"])
 
     return run
+
+
+def _add_joined(notices, lines, model, leads, close):
+    """Add notices across lines; one that a longer one of its family covers goes."""
+    for a, b, family, sure in joined_notices(lines, model, leads, close):
+        same = [x for x in notices if x["family"] == family and a <= x["place"] <= b]
+        if a == b and same:
+            continue
+        for x in same:
+            notices.remove(x)
+        notices.append({"place": a, "family": family, "probability": sure, "paragraph": "\n".join(lines[a : b + 1])})
+    notices.sort(key=lambda x: (x["place"], x["family"]))
