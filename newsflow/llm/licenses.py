@@ -9,6 +9,7 @@ probable enough and a template of its family is close.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -167,8 +168,12 @@ def training_paragraphs(docs: DataFrame, sample: int, seed: int) -> list[tuple[s
     """
     hint = "(?i)licen[cs]e|copyright|spdx|creative commons|public domain|gnu|apache|\\bcc[ -]by"
     text = W.text_of("text")
-    drawn = docs.select(text.alias("text"), F.xxhash64("text", F.lit(seed)).alias("at")).where(~F.rlike(text, F.lit(hint)))
-    rows = drawn.orderBy("at", "text").limit(sample).collect()
+    drawn = docs.select(text.alias("text")).where(~F.rlike(F.col("text"), F.lit(hint))).withColumn("at", F.xxhash64("text", F.lit(seed)))
+    # the smallest hashes come alone; their texts follow, each once, so that few texts pass through the driver
+    times = Counter(r["at"] for r in drawn.select("at").orderBy("at").limit(sample).collect())
+    chosen = F.broadcast(docs.sparkSession.createDataFrame([(a,) for a in times], "at long"))
+    texts = drawn.join(chosen, "at", "left_semi").groupBy("at").agg(F.min("text").alias("text")).orderBy("at").collect()
+    rows = [r for r in texts for _ in range(times[r["at"]])]
     random = np.random.RandomState(seed)
     plain = [p for r in rows for p in r.text.split("\n") if p.strip()]
     words = [w for p in plain for w in p.split()][:20_000] or ["text"]
