@@ -150,3 +150,31 @@ c AS (
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c)
 SELECT *, NOT base_failed AND NOT 100 * (n_words - n_common_words) < 30 * n_words AS kept FROM b
 """
+
+# crc32 byte by byte, over a table made from its polynomial
+ORACLE["op11_spelling"] = r"""
+WITH RECURSIVE t AS (
+  SELECT list_transform(range(256), lambda b: list_reduce([b::UBIGINT] || [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0],
+    lambda a, x: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384::UBIGINT) ELSE a // 2 END)) AS steps),
+run AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]{7,}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS r
+  FROM documents),
+bytes AS (SELECT r, list_transform(range(strlen(doc_id || ':' || r)), lambda i: ('0x' || substr(hex(encode(doc_id || ':' || r)), 2 * i + 1, 2))::UBIGINT) AS bs FROM run),
+hashed AS (
+  SELECT r, xor(list_reduce([4294967295::UBIGINT] || bs, lambda a, b: xor(a // 256, steps[(xor(a, b) % 256 + 1)::BIGINT])), 4294967295::UBIGINT) AS h FROM bytes, t),
+word AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(r, 1, (h % length(r))::INT) || substr(r, (h % length(r))::INT + 2) ELSE r END AS word FROM hashed),
+w AS (SELECT word, count(*) AS n FROM word WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2),
+cut AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS v FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM w)),
+pair AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.v = b.v AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN w b ON a.v = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN w b ON a.v = b.word),
+best AS (SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n FROM pair GROUP BY word),
+f AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * w.n THEN near END AS form, CASE WHEN near_n >= 10 * w.n THEN near_n END AS form_n
+  FROM w LEFT JOIN best USING (word)),
+up AS (SELECT word, word AS root FROM f UNION ALL SELECT up.word, f.form FROM up JOIN f ON up.root = f.word WHERE f.form IS NOT NULL)
+SELECT word, form, last.root, n, n_near, form_n
+FROM f JOIN (SELECT up.word, up.root FROM up JOIN f ON up.root = f.word WHERE f.form IS NULL) last USING (word)
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import bpe, jaccard, licenses, linededup, mixing, quality, suffixdedup, topk, urlfilter, warc
+from newsflow.llm import bpe, jaccard, licenses, linededup, mixing, quality, spelling, suffixdedup, topk, urlfilter, warc
 from newsflow.session import prepare, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,6 +105,11 @@ def op10_quality(spark, folder):
     return quality.quality_rules(docs).select("doc_id", *[c for c in quality.NEW if c != "clean_text"])
 
 
+@query
+def op11_spelling(spark, folder):
+    return spelling.spelling_variants(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 @query
 def pipeline(spark, folder):
     import corpus_pipeline

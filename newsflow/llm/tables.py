@@ -19,7 +19,17 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: later steps start from files."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    kept.kept_at = path
+    return kept
+
+
+def forget(*kept: DataFrame) -> None:
+    """Delete the files of tables from :func:`keep` that no later step reads."""
+    for df in kept:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.kept_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 @contextmanager
