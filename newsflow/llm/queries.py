@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import bpe, jaccard, licenses, linededup, mixing, quality, spelling, suffixdedup, topk, urlfilter, warc
+from newsflow.llm import bpe, jaccard, licenses, linededup, mixing, multiindex, quality, spelling, suffixdedup, topk, urlfilter, warc, whitening
 from newsflow.session import prepare, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,6 +110,17 @@ def op11_spelling(spark, folder):
     return spelling.spelling_variants(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+@query
+def op12_whitening(spark, folder):
+    return whitening.whiten(whitening.integer_vectors(table(spark, folder, "embeddings")))
+
+
+@query
+def op13_neighbours(spark, folder):
+    vectors = multiindex.usable(table(spark, folder, "embeddings"))
+    return multiindex.nearest(vectors, vectors.where("vec_id % 20 = 0"), 20)
+
+
 @query
 def pipeline(spark, folder):
     import corpus_pipeline
