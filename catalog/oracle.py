@@ -142,44 +142,55 @@ with_pages AS (
 
 
 def vectors(source: str) -> str:
-    """Terms, vocabulary and tf-idf weights of the headlines of ``source``."""
+    """Terms of the headlines of ``source``, and tf-idf weights as a day weighs its own articles and those of the day before."""
     return rf"""
 word_lists AS (
-  SELECT story_id, published_at, regexp_extract_all(lower(headline), '[\p{{L}}\p{{N}}_]{{2,}}') AS w FROM {source}),
-term_lists AS (
-  SELECT story_id, published_at, w || [w[i] || ' ' || w[i + 1] FOR i IN range(1, greatest(len(w), 1))] AS terms
+  SELECT story_id, published_at, headline, regexp_extract_all(lower(headline), '[\p{{L}}\p{{N}}_]{{2,}}') AS w FROM {source}),
+term_lists AS MATERIALIZED (
+  SELECT story_id, published_at, CAST(published_at AS DATE) AS day, w || [w[i] || ' ' || w[i + 1] FOR i IN range(1, greatest(len(w), 1))] AS terms,
+    CASE WHEN len(w) > 0 THEN array_to_string(w, ' ') WHEN trim(headline) <> '' THEN headline END AS key
   FROM word_lists),
 counts AS MATERIALIZED (
-  SELECT story_id, term, count(*) AS tf
-  FROM (SELECT story_id, unnest(terms) AS term FROM term_lists) GROUP BY ALL),
-vocabulary AS MATERIALIZED (
-  SELECT term, CAST(sum(tf) AS BIGINT) AS freq, count(*) AS df FROM counts GROUP BY term
-  ORDER BY freq DESC, term LIMIT 100),
+  SELECT story_id, day, term, count(*) AS tf
+  FROM (SELECT story_id, day, unnest(terms) AS term FROM term_lists) GROUP BY ALL),
+judged AS MATERIALIZED (SELECT *, unnest([day, day + 1]) AS judge FROM counts),
+frequencies AS (SELECT judge, term, count(*) AS df FROM judged GROUP BY ALL),
+totals AS (SELECT judge, count(*) AS total FROM (SELECT unnest([day, day + 1]) AS judge FROM term_lists) GROUP BY ALL),
 raw AS (
-  SELECT story_id, term, tf, tf * (ln((1 + (SELECT count(*) FROM term_lists)) / (1.0 + df)) + 1) AS w
-  FROM counts JOIN vocabulary USING (term)),
+  SELECT judge, day, story_id, term, tf * (ln((1 + total) / (1.0 + df)) + 1) AS w
+  FROM judged JOIN frequencies USING (judge, term) JOIN totals USING (judge)),
 weights AS MATERIALIZED (
-  SELECT story_id, term, tf, w / sqrt(sum(w * w) OVER (PARTITION BY story_id)) AS weight FROM raw)"""
+  SELECT judge, day, story_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY judge, story_id)) AS weight FROM raw)"""
+
+
+EARLIER = """b.published_at >= a.published_at - INTERVAL 24 HOUR
+       AND (b.published_at < a.published_at OR (b.published_at = a.published_at AND b.story_id < a.story_id))"""
+
+
+def cosines(asking: str) -> str:
+    """Cosine of the articles of ``asking`` with all earlier ones of their window, of other words."""
+    return f"""
+pairs AS (
+  SELECT a.story_id, b.story_id AS other_id, b.published_at AS other_at, sum(x.weight * y.weight) AS exact
+  FROM {asking} a JOIN term_lists b ON a.key <> b.key AND {EARLIER}
+  JOIN weights x ON x.story_id = a.story_id AND x.judge = a.day
+  JOIN weights y ON y.story_id = b.story_id AND y.judge = a.day AND y.term = x.term
+  GROUP BY ALL)"""
 
 
 def duplicates(source: str) -> str:
     """Best earlier match of each article, from all pairs of articles."""
-    return f"""{vectors(source)},
-pairs AS (
-  SELECT a.story_id, b.story_id AS other_id, b.published_at AS other_at, round(sum(x.weight * y.weight), 6) AS similarity,
-         sum(x.weight * y.weight) AS exact
-  FROM {source} a
-  JOIN {source} b ON b.published_at >= a.published_at - INTERVAL 24 HOUR
-       AND (b.published_at < a.published_at OR (b.published_at = a.published_at AND b.story_id < a.story_id))
-  JOIN weights x ON x.story_id = a.story_id
-  JOIN weights y ON y.story_id = b.story_id AND y.term = x.term
-  GROUP BY ALL),
+    return f"""{vectors(source)}, {cosines("term_lists")},
+matches AS (
+  SELECT a.story_id, b.story_id AS other_id, b.published_at AS other_at, 1.0 AS similarity, TRUE AS same
+  FROM term_lists a JOIN term_lists b ON a.key = b.key AND {EARLIER}
+  UNION ALL SELECT story_id, other_id, other_at, round(exact, 6), FALSE FROM pairs WHERE exact >= 0.85 - 1e-12),
 best AS (
   SELECT story_id, other_id, similarity,
-         row_number() OVER (PARTITION BY story_id ORDER BY similarity DESC, other_at DESC, other_id DESC) AS rn
-  FROM pairs WHERE exact >= 0.85 - 1e-12),
+         row_number() OVER (PARTITION BY story_id ORDER BY same DESC, similarity DESC, other_at DESC, other_id DESC) AS rn
+  FROM matches),
 duplicates AS (
-  SELECT f.story_id, b.other_id AS best_match, b.similarity, b.other_id IS NOT NULL AS is_duplicate
+  SELECT f.story_id, b.other_id AS best_match, CAST(b.similarity AS DOUBLE) AS similarity, b.other_id IS NOT NULL AS is_duplicate
   FROM {source} f LEFT JOIN best b ON b.story_id = f.story_id AND b.rn = 1)"""
 
 
@@ -517,28 +528,26 @@ SELECT event_id, ts FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-15' AND TIME
         body="""
 SELECT story_id, len(terms) AS n_terms, coalesce(array_to_string(terms, '|'), '') AS terms FROM term_lists""",
     ),
-    "top_ngrams": with_(FEED, vectors("feed"), body="SELECT * FROM vocabulary"),
+    "top_ngrams": with_(
+        FEED,
+        vectors("feed"),
+        body="SELECT term, CAST(sum(tf) AS BIGINT) AS freq, count(*) AS df FROM counts GROUP BY term ORDER BY freq DESC, term LIMIT 100",
+    ),
     "tfidf_weights": with_(
-        FEED, vectors("feed"), body="SELECT story_id, term, round(weight, 6) AS weight FROM weights"
+        FEED, vectors("feed"), body="SELECT story_id, term, round(weight, 6) AS weight FROM weights WHERE judge = day"
     ),
     "headline_cosine": with_(
         FEED,
         vectors("feed"),
         """
-signatures AS (
-  SELECT story_id, string_agg(term || ':' || CAST(tf / least AS VARCHAR), '|' ORDER BY term) AS vector
-  FROM (SELECT *, min(tf) OVER (PARTITION BY story_id) AS least FROM weights) GROUP BY 1),
-days AS MATERIALIZED (
-  SELECT CAST(published_at AS DATE) AS day, vector, arg_min(story_id, (published_at, story_id)) AS story_id
-  FROM signatures JOIN feed USING (story_id) GROUP BY 1, 2)""",
+firsts AS (
+  SELECT * FROM term_lists WHERE key IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY day, key ORDER BY published_at, story_id) = 1)""",
+        cosines("firsts"),
         body="""
-SELECT story_id, other_id, round(cosine, 6) AS similarity
-FROM (SELECT a.story_id, b.story_id AS other_id, a.day, b.day AS other_day, sum(x.weight * y.weight) AS cosine
-      FROM days a JOIN days b ON b.day IN (a.day, a.day - 1) AND a.vector <> b.vector
-      JOIN weights x ON x.story_id = a.story_id
-      JOIN weights y ON y.story_id = b.story_id AND y.term = x.term
-      GROUP BY ALL)
-WHERE cosine >= 0.85 - 1e-12""",
+SELECT story_id, other_id, round(exact, 6) AS similarity FROM pairs
+WHERE exact >= 0.85 - 1e-12 AND exact < 1 - 1e-9
+QUALIFY row_number() OVER (PARTITION BY story_id ORDER BY round(exact, 6) DESC, other_at DESC, other_id DESC) = 1""",
     ),
     "near_duplicate_filter": with_(FEED, duplicates("feed"), body="SELECT * FROM duplicates"),
     "stream_ingest": with_(

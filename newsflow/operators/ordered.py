@@ -8,12 +8,15 @@ enough to broadcast whatever the data size.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsflow.session import cut
 
 PART, POS = "_part", "_pos"
+_PART_ROWS = 4_000_000
 _BITS = 33  # monotonically_increasing_id keeps the position in its lower 33 bits
 
 
@@ -21,9 +24,11 @@ def in_order(df: DataFrame, *keys: Column | str) -> DataFrame:
     """``df`` sorted over range partitions, each row with its partition and position.
 
     The keys should name each row uniquely. The result is written to the shared
-    folder, so that all later uses see the same positions.
+    folder, so that all later uses see the same positions. The number of partitions follows
+    the number of rows, and is that of the session at least.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df = cut(df)  # counted, sampled for the ranges, and sorted
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(df.count() / _PART_ROWS))
     laid = (
         df.repartitionByRange(parts, *keys)
         .sortWithinPartitions(*keys)

@@ -120,7 +120,7 @@ def choose_articles(
     if rules.similarity is not None:
         headlines = articles.select("story_id", "headline", "published_at")
         compared = window_of(stored, articles, rules.window_hours).unionByName(headlines)
-        found = neardup.near_duplicates(compared, rules.window_hours, rules.similarity, rules.max_features)
+        found = neardup.near_duplicates(compared, rules.window_hours, rules.similarity)
         fresh = dedup.exclude_seen(articles, found.where("is_duplicate"))
     if profiles is not None:
         fresh = language.detect_language(fresh.drop("language"), profiles).withColumnRenamed("detected", "language")

@@ -72,7 +72,6 @@ class Rules:
     max_headline_length: int = 500
     similarity: float | None = 0.85  # None: near-duplicates are stored
     window_hours: int = 24
-    max_features: int = 100
 
     @property
     def category_order(self) -> list[str]:

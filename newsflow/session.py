@@ -40,12 +40,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and go on from there.
+    """Write ``df`` to the shared folder as Parquet and go on from there; the files go when the session's JVM ends.
 
     A lost executor then costs a re-read, and rows that carry a position keep it.
     """
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, rows: int = 200_000) -> DataFrame:
