@@ -175,7 +175,20 @@ def test_archive_round_trip(spark):
     assert spark.read.parquet(f"{path}/payloads").count() == 3
     warc.export_files(archive, path + "/files")
     raw = b"".join(bytes(r.content) for r in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path + "/files").collect())
-    assert raw.count(b"WARC/1.1\r\n") == len(rows)
+    assert raw.count(b"WARC/1.1\r\n") == len(rows) == raw.count(b"WARC-Date: 1970")
+    assert {(r.page_id, r.url) for r in got} == {(i, u or "") for i, u, _ in rows}  # line breaks too
+    ids = {(r.page_id, r.url): re.search("WARC-Record-ID: (<.*?>)", r.header)[1] for r in got}
+    assert len(set(ids.values())) == len(ids)
+    refers = {m for r in got for m in re.findall("WARC-Refers-To: (<.*?>)", r.header)}
+    assert refers == {ids[3, ""]}
+
+
+def test_archive_of_an_empty_table_and_clashing_columns(spark):
+    df = spark.sql("SELECT 1L AS page_id, 'u' AS url, repeat('x', 200) AS html, 'a' AS digest, 'b' AS holder, 'c' AS at, 'd' AS payload")
+    for table, n in ((df, 1), (df.where("false"), 0), (df.union(df), 2)):
+        path = scratch_path(spark, "warc")
+        warc.write_archive(table, path)
+        assert [(r.page_id, r.record_type, len(r.payload)) for r in warc.read_archive(spark, path).collect()] == n * [(1, "response", 200)]
 
 
 def test_mix_hits_targets(spark):
