@@ -29,17 +29,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsflow.llm.tables import keep, partitions, rest, shuffles_dropped, small_batches
+from newsflow.llm.tables import keep, rest, shuffles_dropped, small_batches
 from newsflow.llm.texthash import CHUNK_BYTES, WindowHash, chunks, utf8
 
 #: A perfect difference set: every difference modulo 57 comes from one pair of its members.
 PERIOD, COVER = 57, (0, 1, 3, 13, 32, 36, 43, 52)
+WIDEST = 256  # polynomial hashes modulo 2^64 stay apart for windows this short
 LAST_ID = (1 << 63) - 1  # orders rows without an id after all others
 
 PARTS = "kind int, bucket int, ids binary, hashes binary, doc binary, a binary, b binary, c binary"
 SAMPLE, SPAN, ASK, WINDOW = 0, 1, 2, 3
 _TYPES = {"ids": np.int64, "hashes": np.int64, "doc": np.uint32}
 _SAMPLES_AT_ONCE = 1_000_000  # physical only
+_BUCKET_SAMPLES, _BUCKET_BYTES = 500_000, 16_000_000  # of a suffix bucket in one block, of the texts whose spans are joined together
 
 
 def remove_repeats(docs: DataFrame, width: int = 100, blocks: int = 4) -> DataFrame:
@@ -55,8 +57,8 @@ def remove_repeats(docs: DataFrame, width: int = 100, blocks: int = 4) -> DataFr
     ``removed`` and ``kept`` replace columns of these names. An empty table gives
     an empty table. A text is held in one task, at about 40 times its size.
     """
-    if width < PERIOD:
-        raise ValueError(f"width must be at least {PERIOD}")
+    if not PERIOD <= width <= WIDEST:
+        raise ValueError(f"width must be {PERIOD} to {WIDEST}")
     spark = docs.sparkSession
     small_batches(spark)
     texts = docs.select(
@@ -65,9 +67,9 @@ def remove_repeats(docs: DataFrame, width: int = 100, blocks: int = 4) -> DataFr
         F.col("text").cast("string").alias("text"),
     )
     n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    samples = n_bytes * len(COVER) / PERIOD
-    buckets = max(partitions(spark), math.ceil(samples / blocks / 2_000_000))
-    doc_buckets = max(partitions(spark), math.ceil(n_bytes / 64_000_000))
+    # both follow the bytes alone, so that a table makes the same rows under any settings
+    buckets = max(1, math.ceil(n_bytes * len(COVER) / PERIOD / blocks / _BUCKET_SAMPLES))
+    doc_buckets = max(1, math.ceil(n_bytes / _BUCKET_BYTES))
     grouped = "kind int, bucket int, ids binary, hashes binary, a binary, b binary"
 
     with shuffles_dropped(spark):
@@ -81,8 +83,9 @@ def remove_repeats(docs: DataFrame, width: int = 100, blocks: int = 4) -> DataFr
         asked = asked.select(*_key_of("ids", "hashes"), F.col("a").alias("asked"))
         asked_texts = keep(texts.join(asked, ["id", "hash"]), "asked")
         found = found.where(F.col("kind") == SPAN)
-        for block in range(blocks):
-            rows = asked_texts.mapInArrow(_windows(width, block, blocks, buckets, doc_buckets), PARTS)
+        # windows are fewer than samples: half as many blocks, so that the asked texts are hashed half as often
+        for block in range(max(1, blocks // 2)):
+            rows = asked_texts.mapInArrow(_windows(width, block, max(1, blocks // 2), 2 * buckets, doc_buckets), PARTS)
             decided = rows.groupBy("kind", "bucket").applyInArrow(_decide(width, doc_buckets), PARTS)
             found = found.union(keep(decided, "windows"))
         spans = found.groupBy("kind", "bucket").applyInArrow(_by_text, grouped)

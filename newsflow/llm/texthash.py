@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+_LONG = 128
 CHUNK_BYTES = 2_000_000  # texts hashed in one go; physical only, results do not depend on it
 
 
@@ -87,7 +89,8 @@ def word_hashes(
     """Hashes of all words, A-Z lower-cased, and the place of the first word of each text.
 
     ``offsets`` begin at 0 and end at the length of ``data``; ``breaks`` says which bytes
-    are outside words. A word ends with its text, even if the next text begins with one.
+    are outside words. A word ends with its text, even if the next text begins with one. Words of
+    more than ``_LONG`` bytes are hashed by BLAKE2: polynomials modulo 2^64 collide on long regular ones.
     """
     low = _LOWER[data]
     inside = np.zeros(len(low) + 2, bool)
@@ -99,7 +102,11 @@ def word_hashes(
     if len(cuts):
         starts, ends = np.sort(np.concatenate([starts, cuts])), np.sort(np.concatenate([ends, cuts]))
     roll.read(low)
-    return roll.windows(starts, ends), np.searchsorted(starts, offsets)
+    hashes = roll.windows(starts, ends)
+    for i in np.flatnonzero(ends - starts > _LONG):
+        digest = hashlib.blake2b(low[starts[i] : ends[i]].tobytes(), digest_size=8).digest()
+        hashes[i] = int.from_bytes(digest, "little")
+    return hashes, np.searchsorted(starts, offsets)
 
 
 def shingle_sets(roll: WindowHash, data: np.ndarray, offsets: np.ndarray, k: int) -> Iterator[np.ndarray]:

@@ -42,6 +42,34 @@ def test_cover_holds_every_difference():
     assert {(a - b) % suffixdedup.PERIOD for a in cover for b in cover} == set(range(suffixdedup.PERIOD))
 
 
+def test_regular_words_of_one_length_stay_apart(spark):
+    """Thue-Morse words and their complements, on which polynomial hashes modulo 2^64 collide."""
+    word = "a"
+    rows = []
+    for n in range(13):
+        if n >= 8:
+            rows += [(2 * n, word), (2 * n + 1, word.translate({97: "b", 98: "a"}))]
+        word += word.translate({97: "b", 98: "a"})
+    got = jaccard.link_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r.component_id == r.doc_id and r.n_links == 0 for r in got)
+
+
+@pytest.mark.parametrize("shuffles", [3, 16])
+def test_suffix_row_groups_do_not_follow_the_settings(spark, shuffles, monkeypatch):
+    kept = []
+    plain = suffixdedup.keep
+    monkeypatch.setattr(suffixdedup, "keep", lambda df, name: kept.append((name, plain(df, name))) or kept[-1][1])
+    rows = [(i, f"{i % 7} " * 40 + "shared " * 60 + str(i)) for i in range(60)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+    try:
+        suffixdedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4, "doc_id")).count()
+        ties = [df.count() for name, df in kept if name == "ties"]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(ties) == 4 and max(ties) <= 12  # a row group for each of 4 tasks and kind, at most
+
+
 def _repeats(rows, width=100):
     seen, out = set(), {}
     for i, text in sorted(rows, key=lambda r: r[0]):
