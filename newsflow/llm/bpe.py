@@ -26,8 +26,8 @@ from newsflow.llm.tables import rest, small_batches
 
 #: Fixed value: the pattern that splits text before merging, as byte-level BPE files imply it.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-WORDS_KEPT = 200_000  # words remembered between batches of a task; physical only
-PIECE_BYTES, PIECE_IDS = 4 << 20, 1 << 20  # of the rows encoded and decoded at a time, one row at least; physical only
+WORDS_KEPT = 100_000  # words remembered between batches of a task; physical only
+PIECE_BYTES, PIECE_IDS = 1 << 20, 1 << 18  # of the rows encoded and decoded at a time, one row at least; physical only
 
 
 def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
