@@ -6,20 +6,21 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newsflow.functions.fields import micros
 from newsflow.operators.ordered import last_before, running_totals
 
 
 def keep_first(df: DataFrame, key: list[str] | str, *order: Column | str) -> DataFrame:
-    """One row per key, the first in ``order``, or without one that of the smallest row hash.
+    """One row per key, the first in ``order``; ties go to the smallest row hash.
 
     Spark limits each key to one row before the shuffle, so a key with very
     many copies sends one row per input partition.
     """
     keys = [key] if isinstance(key, str) else key
-    order = order or (F.xxhash64(*df.columns),)
-    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    hashed = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order, F.xxhash64(*[F.col(f"`{c}`") for c in hashed])))
     return df.withColumn("_rn", first).where(F.col("_rn") == 1).drop("_rn")
 
 

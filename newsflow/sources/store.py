@@ -7,11 +7,12 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.functions.fields import hours_before, plus_seconds
+from newsflow.functions.fields import hours_before, micros, plus_seconds
 from newsflow.operators.clean import fill_defaults, filter_date_range
 from newsflow.operators.dedup import keep_first
 from newsflow.schema import STORED_ARTICLE
 from newsflow.session import cut
+from newsflow.sources import commits
 
 DEFAULT_COUNT = 100
 
@@ -25,16 +26,12 @@ def read_articles(spark: SparkSession, path: str) -> DataFrame:
     Columns that older files lack, and values that are missing, have the defaults
     of the store. The schema is given, so no file is opened to find it.
     """
-    if not exists(spark, path):
+    commits.recover(spark, path)
+    if not stored_folders(spark, path):
         return spark.createDataFrame([], STORED_ARTICLE)
     return fill_defaults(spark.read.schema(STORED_ARTICLE).parquet(path))
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
-
-
 def scan_latest(
     articles: DataFrame,
     count: int | None = None,
@@ -71,10 +68,23 @@ def since_high_water(source: DataFrame, store: DataFrame, as_of: Column, time: s
     return source.where(F.col(time) >= start)
 
 
-def lookup(articles: DataFrame, ids: list[str]) -> DataFrame:
+def lookup(articles: DataFrame, ids: list[str] | DataFrame) -> DataFrame:
+    """Articles of the given ids: a list, or a table with ``story_id``."""
+    if isinstance(ids, DataFrame):
+        return articles.join(ids.select("story_id"), "story_id", "left_semi")
     return articles.where(F.col("story_id").isin(ids))
 
 
+def linked(articles: DataFrame, links: DataFrame) -> DataFrame:
+    """Each article with each of its links."""
+    return articles.join(links, "story_id")
+
+
+def with_link(articles: DataFrame, links: DataFrame) -> DataFrame:
+    """Articles that have a link, once each."""
+    return lookup(articles, links)
+
+
 def evolve_add_column(older: DataFrame, newer: DataFrame, column: str, default) -> DataFrame:
     """Rows from before and after a column was added, with the default where it is missing."""
     together = older.unionByName(newer, allowMissingColumns=True)
@@ -103,11 +113,24 @@ def ingest_counts(batch: DataFrame, store: DataFrame) -> DataFrame:
     )
 
 
-def append_articles(rows: DataFrame, path: str) -> None:
-    """Append the columns of the store, partitioned by date; large dates are split over tasks, small ones joined."""
-    dated = rows.withColumn("published_date", F.to_date("published_at"))
-    dated = dated.select(*[c for c in STORED_ARTICLE.names if c in dated.columns])
-    by_date(dated).write.mode("append").partitionBy("published_date").parquet(path)
+def append_articles(rows: DataFrame, path: str, load: str | None = None) -> int:
+    """Append the columns of the store, partitioned by date; large dates are split over tasks, small ones joined.
+
+    Returns the number of rows written.
+    """
+    return commits.change(rows.sparkSession, path, by_date(_dated(rows)), _BY, ids=_ids, load=load)
+
+
+_BY = ("published_date",)
+
+
+def _dated(rows: DataFrame) -> DataFrame:
+    rows = rows.withColumn("published_date", F.to_date("published_at"))
+    return rows.select(*[c for c in STORED_ARTICLE.names if c in rows.columns])
+
+
+def _ids(rows: DataFrame, stored: bool = True) -> DataFrame:
+    return rows.select(F.col("story_id").alias("key"), F.col("published_at").alias("time"), F.lit(stored).alias("stored"))
 
 
 def by_date(rows: DataFrame) -> DataFrame:
@@ -115,14 +138,19 @@ def by_date(rows: DataFrame) -> DataFrame:
     return rows.hint("rebalance", "published_date")
 
 
-def insert_only(batch: DataFrame, path: str, *arrival: str, as_of=None) -> dict[str, int]:
+def not_stored(batch: DataFrame, path: str, keys: DataFrame | None = None) -> DataFrame:
+    """Articles of a batch that the store does not hold, by its index of ids."""
+    return commits.not_stored(batch, path, "story_id", _ids(read_articles(batch.sparkSession, path)).drop("stored"), keys)
+
+
+def insert_only(batch: DataFrame, path: str, *arrival: str, as_of=None, load: str | None = None) -> dict[str, int]:
     """Store the new stories of a batch and count them. A repeated call stores nothing."""
-    spark = batch.sparkSession
-    rows = cut(new_rows(batch, read_articles(spark, path), *arrival))  # what is counted is what is written
-    total, inserted = batch.count(), rows.count()
+    keys = commits.batch_keys(batch, "story_id")
+    rows = not_stored(keep_first(batch, "story_id", *arrival), path, keys)
     if as_of is not None:
         rows = rows.withColumns({"created_at": F.lit(as_of), "updated_at": F.lit(as_of)})
-    append_articles(rows, path)
+    inserted = append_articles(rows, path, load)
+    total = keys.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
     return {"total_processed": total, "inserted_count": inserted, "failed_count": total - inserted}
 
 
@@ -176,34 +204,35 @@ def update_by_key(articles: DataFrame, updates: DataFrame, as_of: Column, *order
 def apply_updates(spark: SparkSession, path: str, updates: DataFrame, as_of: Column, *order: Column | str) -> None:
     """Update the store in place: only dates that an updated story leaves or enters are rewritten.
 
-    The new rows are written to the shared folder first, since a path cannot be
-    read and overwritten at once. A date whose last story moved away loses its folder.
+    The new files of all touched dates are staged first, so that a run that breaks off between
+    two dates is finished by the next one.
     """
     stored = read_articles(spark, path)
     hits = stored.join(updates.select("story_id").distinct(), "story_id", "left_semi")
-    left = hits.select("published_date").distinct()
-    entered = update_by_key(hits, updates, as_of, *order).select("published_date").distinct()
-    dates = cut(left.union(entered).distinct())
-    touched = cut(update_by_key(stored.join(dates, "published_date", "left_semi"), updates, as_of, *order))
-    _rewrite(touched, path)
-    for row in dates.join(touched, "published_date", "left_anti").toLocalIterator():
-        _drop_date(spark, path, row.published_date)
-
-
-def _drop_date(spark: SparkSession, path: str, day: date | None) -> None:
-    name = "__HIVE_DEFAULT_PARTITION__" if day is None else day
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/published_date={name}")
-    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
-
-
-def _rewrite(rows: DataFrame, path: str) -> None:
-    (
-        by_date(rows)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("published_date")
-        .parquet(path)
-    )
+    new = cut(update_by_key(hits, updates, as_of, *order).select("story_id", "published_at", "published_date"))
+    dates = cut(hits.select("published_date").union(new.select("published_date")).distinct())
+    _rewrite(spark, path, lambda touched: update_by_key(touched, updates, as_of, *order), _collected(dates), _ids(new))
+
+
+def _collected(dates: DataFrame) -> list[date | None]:
+    """Dates of a narrow table; as many as the store has folders at most."""
+    return [r.published_date for r in dates.toLocalIterator()]
+
+
+def _folder(day: date | None) -> str:
+    return f"published_date={'__HIVE_DEFAULT_PARTITION__' if day is None else day}"
+
+
+def _rewrite(spark: SparkSession, path: str, changed, days: list, ids: DataFrame) -> None:
+    """The rows of ``days`` become ``changed`` of them, in one change of the store; files of other dates stay."""
+    if not days:
+        return
+    touched = F.col("published_date").isin([d for d in days if d is not None])
+    if None in days:
+        touched = F.coalesce(touched, F.lit(False)) | F.col("published_date").isNull()
+    old = [f"{_folder(d)}/{f}" for d in days for f in commits.data_files(spark, f"{path}/{_folder(d)}")]
+    rows = changed(read_articles(spark, path).where(touched))
+    commits.change(spark, path, by_date(rows), _BY, replaces=old, ids=ids)
 
 
 def delete_by_key(table: DataFrame, keys: DataFrame) -> DataFrame:
@@ -249,17 +278,16 @@ def retention_report(df: DataFrame, cutoff: Column, time: str = "published_at")
     )
 
 
+def stored_folders(spark: SparkSession, path: str) -> list[str]:
+    return [n for n in commits.children(spark, path) if n.startswith("published_date=") and commits.data_files(spark, f"{path}/{n}")]
+
+
 def stored_dates(spark: SparkSession, path: str) -> list[date]:
-    """The dates that have a folder in the store, oldest first; no file is opened.
+    """The dates that have rows in the store, oldest first; no file is opened.
 
     Rows without a time lie in a folder of their own, which is not listed.
     """
-    if not exists(spark, path):
-        return []
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folders = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(jvm_path)
-    names = [f.getPath().getName() for f in folders if f.isDirectory()]
-    days = [n.removeprefix("published_date=") for n in names if n.startswith("published_date=")]
+    days = [n.removeprefix("published_date=") for n in stored_folders(spark, path)]
     return sorted(date.fromisoformat(d) for d in days if d != "__HIVE_DEFAULT_PARTITION__")
 
 
@@ -269,46 +297,61 @@ def apply_retention(spark: SparkSession, path: str, cutoff: Column) -> None:
     Folders of whole dates before it go unread, and only the date of the cutoff is
     rewritten. Rows without a time stay. A repeated call changes nothing.
     """
-    boundary = spark.range(1).select(F.to_date(cutoff)).first()[0]
+    boundary, micros_ = spark.range(1).select(F.to_date(cutoff), micros(cutoff)).first()
+    commits.recover(spark, path)
+    commits.note_dropped(spark, path, micros_)
     for day in stored_dates(spark, path):
         if day < boundary:
-            _drop_date(spark, path, day)
+            commits.remove(spark, f"{path}/{_folder(day)}")
         elif day == boundary:
             held = read_articles(spark, path).where(F.col("published_date") == boundary)
             gone = held.where(~(F.col("published_at") >= cutoff))
             if not gone.isEmpty():
-                _replace(spark, cut(retain(held, cutoff)), path, [day])
+                _rewrite(spark, path, lambda rows: retain(rows, cutoff), [day], _ids(gone, stored=False))
+
+
+LINK_PARTS = 64
+
+
+def write_links(links: DataFrame, path: str) -> None:
+    """Append to a table of links, hash-partitioned by ``story_id``."""
+    commits.change(links.sparkSession, path, _parted(links), ("part",))
+
+
+def read_links(spark: SparkSession, path: str) -> DataFrame:
+    commits.recover(spark, path)
+    return spark.read.parquet(path).drop("part")
+
+
+def _parted(links: DataFrame) -> DataFrame:
+    return links.withColumn("part", F.pmod(F.xxhash64("story_id"), F.lit(LINK_PARTS))).hint("rebalance", "part")
 
 
 def apply_delete(spark: SparkSession, path: str, keys: DataFrame, links_path: str | None = None) -> dict[str, int]:
     """Delete stories from the store in place, with their links, and count the rows that went.
 
-    Only dates that hold a deleted story are rewritten. ``links_path`` is an
-    unpartitioned Parquet table with ``story_id``; it is rewritten if links go. Unknown
-    stories delete nothing. Links go first, so that a repeated call finds what is left.
+    Only dates that hold a deleted story are rewritten, and only the touched parts of the table of links, if
+    :func:`write_links` wrote it (another Parquet table with ``story_id`` is rewritten as a whole). Both are
+    changes that a later call finishes if they break off. Unknown stories delete nothing. Links go
+    first, so that a repeated call finds what is left.
     """
     stored = read_articles(spark, path)
-    gone = cut(stored.join(keys.select("story_id").distinct(), "story_id", "left_semi").select("story_id", "published_date"))
+    gone = cut(stored.join(keys.select("story_id").distinct(), "story_id", "left_semi").select("story_id", "published_at", "published_date"))
     counts = {"articles_deleted": gone.count(), "links_deleted": 0}
-    if links_path is not None and exists(spark, links_path):
-        links = spark.read.parquet(links_path)
-        left = cut(delete_by_key(links, gone))
-        counts["links_deleted"] = links.count() - left.count()
-        if counts["links_deleted"]:
-            left.write.mode("overwrite").parquet(links_path)
-    days = [r.published_date for r in gone.select("published_date").distinct().toLocalIterator()]
-    if days:
-        touched = F.col("published_date").isin([d for d in days if d is not None])
-        if None in days:
-            touched = touched | F.col("published_date").isNull()
-        _replace(spark, cut(delete_by_key(stored.where(touched), gone)), path, days)
+    if links_path is not None and commits.exists(spark, links_path):
+        counts["links_deleted"] = _delete_links(spark, links_path, gone)
+    days = _collected(gone.select("published_date").distinct())
+    _rewrite(spark, path, lambda rows: delete_by_key(rows, gone), days, _ids(gone, stored=False))
     return counts
 
 
-def _replace(spark: SparkSession, rows: DataFrame, path: str, days: list) -> None:
-    """The rows of ``days`` become ``rows``; a date without rows loses its folder."""
-    _rewrite(rows, path)
-    left = {r.published_date for r in rows.select("published_date").distinct().toLocalIterator()}
-    for day in days:
-        if day not in left:
-            _drop_date(spark, path, day)
+def _delete_links(spark: SparkSession, path: str, gone: DataFrame) -> int:
+    links, by, old = read_links(spark, path), (), commits.data_files(spark, path)
+    if any(f.startswith("part=") for f in old):
+        touched = [r.part for r in _parted(gone).select("part").distinct().collect()]  # LINK_PARTS at most
+        links = spark.read.parquet(path).where(F.col("part").isin(touched))
+        by, old = ("part",), [f for f in old if int(f.split("/")[0].removeprefix("part=")) in touched]
+    deleted = links.join(gone, "story_id", "left_semi").count()
+    if deleted:
+        commits.change(spark, path, delete_by_key(links, gone), by, replaces=old)
+    return deleted

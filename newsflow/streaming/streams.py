@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from newsflow.operators.dedup import exclude_seen, keep_first
 from newsflow.session import scratch_path
-from newsflow.sources.store import exists
+from newsflow.sources.commits import exists
 
 LATENESS = "1 hour"
 POLL = "5 minutes"

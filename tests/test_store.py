@@ -19,7 +19,7 @@ def as_of():
 
 
 def files(folder):
-    return {str(f.relative_to(folder)) for f in folder.glob("*/*.parquet")}
+    return {str(f.relative_to(folder)) for f in folder.glob("published_date=*/*.parquet")}
 
 
 def batch(spark, *ids, text="Test Headline"):
