@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -309,11 +310,11 @@ def delete_cascade(spark, folder):
     """Every eleventh article goes from a store, with its links; the rest is read back."""
     articles = views.feed(spark, folder)
     path, links = _store_of(articles, "deleted"), scratch_path(spark, "links")
-    views.links(spark, folder).write.parquet(links)
+    store.write_links(views.links(spark, folder), links)
     gone = store.apply_delete(spark, path, articles.where("doc_id % 11 = 0"), links)
     rows = [
         ("news_articles", store.read_articles(spark, path).count(), gone["articles_deleted"]),
-        ("news_rics", spark.read.parquet(links).count(), gone["links_deleted"]),
+        ("news_rics", store.read_links(spark, links).count(), gone["links_deleted"]),
     ]
     return spark.createDataFrame(rows, "table_name string, remaining long, deleted long")
 
@@ -357,8 +358,7 @@ def window_candidates(spark, folder):
 
 @query
 def article_links(spark, folder):
-    articles = views.feed(spark, folder).select("story_id")
-    return articles.join(views.links(spark, folder), "story_id").select("story_id", "quality", "toxic")
+    return store.linked(views.feed(spark, folder).select("story_id"), views.links(spark, folder)).select("story_id", "quality", "toxic")
 
 
 # -- aggregates ----------------------------------------------------------------------------
@@ -676,11 +676,12 @@ def stream_category_totals(spark, folder):
 
 @query
 def ingest_feed(spark, folder):
-    """The whole load of the feed into a store that holds every 25th article."""
+    """What the load of the feed stores beside every 25th article; :func:`pipeline_ingest` stores it."""
     feed = views.overlap(views.feed(spark, folder))
     stored = clean.truncate_headline(views.feed(spark, folder).where("doc_id % 25 = 0"))
-    chosen = ingest.choose_articles(feed, RULES, stored, profiles=_profiles(spark, folder), arrival=("arrival",))
-    return ingest.with_texts(chosen, feed, RULES).select(
+    fresh = lambda articles: dedup.exclude_seen(articles, stored)
+    chosen = ingest.new_articles(feed, RULES, fresh, stored, profiles=_profiles(spark, folder), arrival=("arrival",))
+    return chosen.select(
         "story_id",
         "headline",
         "body_text",
@@ -693,6 +694,60 @@ def ingest_feed(spark, folder):
     )
 
 
+def _stored_feed(spark, folder, name):
+    """A store that holds every 25th article of the feed."""
+    return _store_of(clean.truncate_headline(views.feed(spark, folder).where("doc_id % 25 = 0")), name)
+
+
+@query
+def pipeline_ingest(spark, folder):
+    """Two loads of the feed, bodies from pages, and what store and run log then hold; the second one finds nothing new."""
+    feed, bodies = views.overlap(views.feed(spark, folder)), feeds.page_bodies(feeds.table(spark, folder, "pages"))
+    path = _stored_feed(spark, folder, "pipeline")
+    for load in ("first", "second"):
+        ingest.run_ingest(feed, RULES, path, views.as_of(), _profiles(spark, folder), bodies, arrival=("arrival",), load=load)
+    stored = store.read_articles(spark, path).select(
+        F.lit("article").alias("kind"), F.col("story_id").alias("id"), "language", tagging.join_categories(F.col("categories")).alias("category"),
+        F.coalesce(F.length("body_text"), F.lit(-1)).cast("bigint").alias("size"), F.col("priority_score").cast("bigint").alias("score"),
+    )
+    log = runlog.read_log(spark, path).select(
+        F.lit("run"), "run_id", "status", F.coalesce("error_message", F.lit("")), "articles_fetched", "articles_inserted"
+    )
+    return stored.where(F.col("size") >= 0).union(log)
+
+
+@query
+def load_since_newest(spark, folder):
+    """A store with the first half of the feed gets what is newer than its newest article."""
+    feed = views.feed(spark, folder)
+    middle = feed.agg(F.floor(F.max("doc_id") / 2)).scalar()
+    path = _store_of(feed.where(F.col("doc_id") <= middle), "newest")
+    before = store.read_articles(spark, path).select("story_id").count()
+    counts = ingest.load_since_newest(feed, replace(RULES, similarity=None), path, views.as_of())
+    after = store.read_articles(spark, path)
+    return after.agg(F.count("*").alias("stored"), F.max("published_at").alias("newest")).select(
+        F.lit(before).cast("bigint").alias("before"), F.lit(counts["articles_fetched"]).cast("bigint").alias("fetched"), "stored", "newest"
+    )
+
+
+@query
+def load_by_category(spark, folder):
+    """The newest 50 articles of each category go into a store that holds every 25th article."""
+    path = _stored_feed(spark, folder, "categories")
+    return ingest.load_by_category(views.feed(spark, folder), replace(RULES, similarity=None), path, views.as_of(), 50)
+
+
+@query
+def backfill_pages(spark, folder):
+    """A range loaded in pages of 200, its first page before a restart; what is stored, and the runs."""
+    start, end = map(_time, RANGE)
+    path, rules, feed = scratch_path(spark, "backfill"), replace(RULES, similarity=None), views.feed(spark, folder)
+    pages = [ingest.backfill(feed, rules, path, views.as_of(), start, end, 200) for _ in range(2)]
+    runs = runlog.read_log(spark, path).agg(F.count("*").alias("runs"), F.sum("articles_fetched").alias("fetched"), F.sum("articles_inserted").alias("inserted"))
+    stored = store.read_articles(spark, path).agg(F.count("*").alias("stored"), F.min("published_at").alias("oldest"))
+    return runs.join(stored).select("runs", "fetched", "inserted", "stored", "oldest", F.lit(pages[1]).cast("bigint").alias("pages_again"))
+
+
 @query
 def category_report(spark, folder):
     articles = ingest.tag_articles(_with_pages(spark, folder), RULES)

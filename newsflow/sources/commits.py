@@ -136,10 +136,18 @@ def loaded(spark: SparkSession, path: str, load: str) -> bool:
 
 
 def _write_ids(ids: DataFrame, folder: str) -> None:
-    spark, name = ids.sparkSession, f"newsflow_ids_{uuid.uuid4().hex}"
-    bucketed = ids.select("key", "time", "stored", "at").repartition(BUCKETS, "key").write.bucketBy(BUCKETS, "key").sortBy("key")
-    bucketed.format("parquet").option("path", folder).saveAsTable(name)
-    spark.sql(f"DROP TABLE {name}")  # the files stay
+    bucketed(ids.select("key", "time", "stored", "at"), folder, "key", BUCKETS)
+
+
+def bucketed(df: DataFrame, folder: str, key: str, buckets: int) -> DataFrame:
+    """``df`` written to ``folder`` in hash buckets of ``key``, and read in their partitions."""
+    spark, name = df.sparkSession, f"newsflow_{uuid.uuid4().hex}"
+    writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+    writer.format("parquet").option("path", folder).saveAsTable(name)
+    try:
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")  # the files stay
 
 
 def index(spark: SparkSession, path: str) -> DataFrame:

@@ -252,8 +252,7 @@ def test_tags_and_texts_come_from_the_same_arrival(spark):
     rows = [(f"{i}", "Headline", "2024-01-01T10:00:00Z", "NS:ABC", f"{i} {w}") for i in range(8) for w in words] * 2
     arrived = spark.createDataFrame(rows, "storyId string, text string, versionCreated string, sourceCode string, body string")
     empty = store.read_articles(spark, "/nowhere/news")
-    chosen = ingest.choose_articles(arrived, Rules(similarity=None), empty)
-    got = ingest.with_texts(chosen, arrived, Rules()).collect()
+    got = ingest.new_articles(arrived, Rules(similarity=None), lambda df: df, empty).collect()
     assert len(got) == 8
     for r in got:
         assert r.body_text.split()[0] == r.story_id and r.categories == [r.body_text.split()[1].upper()]
