@@ -121,16 +121,20 @@ gaps AS (
 BLANK = r"({c} IS NULL OR NOT regexp_matches({c}, '[^\s\p{{Z}}]'))"
 
 # comments, scripts and styles, tags, then the entities that occur in the pages, `&amp;` last
-PAGE_TEXT = r"""
-stripped AS (
-  SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'),
-         '(?is)<(script|style)\b[^>]*>.*?</(script|style)\s*>', '', 'g'), '(?s)<[^>]*>', '', 'g') AS t
-  FROM pages),
+_INSIDE = """(?:[^''">]|"[^"]*"|''[^'']*'')*"""
+_MARKUP = "|".join(
+    [r"(?is)<!--.*?(?:-->|\z)"]
+    + [rf"<{tag}\b{_INSIDE}>.*?(?:</{tag}\s*>|\z)" for tag in ("script", "style")]
+    + [rf"</?[a-z!?]{_INSIDE}>", "</?[a-z!?][^>]*>"]
+)
+
+PAGE_TEXT = rf"""
+stripped AS (SELECT page_id, regexp_replace(html, '{_MARKUP}', '', 'g') AS t FROM pages),
 page_text AS (
   SELECT page_id, trim(regexp_replace(
          replace(replace(replace(replace(replace(replace(replace(replace(t,
            '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&nbsp;', chr(160)), '&#39;', ''''),
-           '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '[\s\p{Z}]+', ' ', 'g')) AS text
+           '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '[\s\p{{Z}}]+', ' ', 'g')) AS text
   FROM stripped)"""
 
 WITH_PAGES = """
@@ -219,7 +223,6 @@ detected AS (
   FROM {source} f LEFT JOIN ranked r ON r.story_id = f.story_id AND r.rn = 1)"""
 
 
-LAST_CLOSED = "(SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
 
 SAMPLES = f"""
 firsts AS (
@@ -570,14 +573,13 @@ GROUP BY 1""",
 SELECT date_trunc('day', ts) AS window_start, event_type, count(*) AS n FROM events
 GROUP BY 1, 2""",
     "stream_dedup": "SELECT event_id, ts FROM events",
-    "stream_late_data": f"""
+    "stream_late_data": """
 WITH marked AS (
   SELECT date_trunc('hour', ts) AS window_start, ts < TIMESTAMP '2024-01-15 12:00:00' AS early, event_id % 10 = 0 AS tenth, ts
   FROM events),
 closed AS (SELECT max(ts) - INTERVAL 1 HOUR AS at FROM marked WHERE early AND NOT tenth)
 SELECT window_start, count(*) AS n FROM marked, closed
 WHERE NOT (early AND tenth AND window_start + INTERVAL 1 HOUR <= closed.at)
-  AND window_start + INTERVAL 1 HOUR <= {LAST_CLOSED}
 GROUP BY 1""",
     "stream_exclude_stored": "SELECT event_id, ts FROM events WHERE event_id % 2 <> 0",
     "stream_category_totals": "SELECT event_type, count(*) AS n FROM events GROUP BY 1",
@@ -605,6 +607,105 @@ SELECT p.story_id, p.headline, p.body_text, p.source, p.published_at, d.detected
        array_to_string(p.categories, ',') AS category, p.urgency_level, p.priority_score
 FROM unstored p JOIN detected d USING (story_id)
 WHERE p.story_id NOT IN (SELECT story_id FROM duplicates WHERE is_duplicate)""",
+    ),
+    "pipeline_ingest": with_(
+        FEED,
+        PAGE_TEXT,
+        """
+kept AS (
+  SELECT * REPLACE (substr(headline, 1, 500) AS headline, p.text AS body_text)
+  FROM feed LEFT JOIN page_text p ON p.page_id = feed.doc_id
+  WHERE NOT regexp_matches(split_part(source_code, ':', -1), '(?i)src1'))""",
+        tagged("kept"),
+        f"""
+passed AS (SELECT * FROM tagged WHERE priority_score >= {REQUIRED} AND priority_score >= {RULES.minimum_score}),
+stored AS (SELECT story_id, substr(headline, 1, 500) AS headline, published_at FROM feed WHERE doc_id % 25 = 0),
+unstored AS (SELECT * FROM passed WHERE story_id NOT IN (SELECT story_id FROM stored)),
+compared AS MATERIALIZED (
+  SELECT * FROM stored
+  WHERE published_at BETWEEN (SELECT min(published_at) - INTERVAL 24 HOUR FROM unstored)
+                         AND (SELECT max(published_at) FROM unstored)
+  UNION ALL
+  SELECT story_id, headline, published_at FROM unstored)""",
+        duplicates("compared"),
+        languages("unstored"),
+        """
+loaded AS (
+  SELECT p.*, d.detected FROM unstored p JOIN detected d USING (story_id)
+  WHERE p.story_id NOT IN (SELECT story_id FROM duplicates WHERE is_duplicate)),
+arrived AS (SELECT count(*) + count(*) FILTER (doc_id % 10 = 0) AS n FROM feed)""",
+        body="""
+SELECT 'article' AS kind, story_id AS id, detected AS language, array_to_string(categories, ',') AS category,
+       CAST(length(body_text) AS BIGINT) AS size, CAST(priority_score AS BIGINT) AS score
+FROM loaded WHERE body_text IS NOT NULL
+UNION ALL SELECT 'article', story_id, language, '', CAST(length(body_text) AS BIGINT), 0 FROM feed WHERE doc_id % 25 = 0
+UNION ALL SELECT 'run', 'first', 'completed', '', n, (SELECT count(*) FROM loaded) FROM arrived
+UNION ALL SELECT 'run', 'second', 'completed', '', n, 0 FROM arrived""",
+    ),
+    "load_since_newest": with_(
+        FEED,
+        """
+half AS (SELECT *, doc_id <= (SELECT floor(max(doc_id) / 2) FROM documents) AS old FROM feed)""",
+        """
+kept AS (
+  SELECT * REPLACE (substr(headline, 1, 500) AS headline) FROM half
+  WHERE NOT old AND NOT regexp_matches(split_part(source_code, ':', -1), '(?i)src1'))""",
+        tagged("kept"),
+        f"""
+added AS (SELECT published_at FROM tagged WHERE priority_score >= {REQUIRED} AND priority_score >= {RULES.minimum_score})""",
+        body="""
+SELECT (SELECT count(*) FROM half WHERE old) AS before, (SELECT count(*) FROM half WHERE NOT old) AS fetched,
+  (SELECT count(*) FROM half WHERE old) + (SELECT count(*) FROM added) AS stored,
+  greatest((SELECT max(published_at) FROM half WHERE old), (SELECT max(published_at) FROM added)) AS newest""",
+    ),
+    "load_by_category": with_(
+        FEED,
+        f"""
+searched AS (SELECT *, lower(headline || ' ' || coalesce(body_text, '')) AS t FROM feed),
+hits AS (
+  {" UNION ALL ".join(f"SELECT story_id, published_at, {i} AS place, '{c}' AS category FROM searched WHERE {any_substring('t', terms)}" for i, (c, terms) in enumerate(RULES.search_terms.items()))}),
+wanted AS (SELECT * FROM hits QUALIFY row_number() OVER (PARTITION BY category ORDER BY published_at DESC, story_id) <= 50)""",
+        """
+kept AS (
+  SELECT * REPLACE (substr(headline, 1, 500) AS headline) FROM feed
+  WHERE story_id IN (SELECT story_id FROM wanted) AND doc_id % 25 <> 0
+    AND NOT regexp_matches(split_part(source_code, ':', -1), '(?i)src1'))""",
+        tagged("kept"),
+        f"""
+added AS (SELECT story_id FROM tagged WHERE priority_score >= {REQUIRED} AND priority_score >= {RULES.minimum_score}),
+told AS (SELECT w.*, a.story_id IS NOT NULL AS new, row_number() OVER (PARTITION BY w.story_id ORDER BY place) AS nth FROM wanted w LEFT JOIN added a USING (story_id))""",
+        body="""
+SELECT category, count(*) AS fetched, count(*) FILTER (new AND nth = 1) AS stored,
+  count(*) - count(*) FILTER (new AND nth = 1) AS failed, count(*) FILTER (new AND nth > 1) AS duplicate_of_category
+FROM told GROUP BY category""",
+    ),
+    "backfill_pages": with_(
+        FEED,
+        """
+ranged AS (SELECT * FROM feed WHERE published_at BETWEEN TIMESTAMP '2024-01-01 06:04:00' AND TIMESTAMP '2024-01-03 17:27:00'),
+kept AS (
+  SELECT * REPLACE (substr(headline, 1, 500) AS headline) FROM ranged
+  WHERE NOT regexp_matches(split_part(source_code, ':', -1), '(?i)src1'))""",
+        tagged("kept"),
+        f"""
+added AS (SELECT published_at FROM tagged WHERE priority_score >= {REQUIRED} AND priority_score >= {RULES.minimum_score})""",
+        body="""
+SELECT CAST(ceil(count(*) / 200) AS BIGINT) AS runs, count(*) AS fetched, (SELECT count(*) FROM added) AS inserted,
+  (SELECT count(*) FROM added) AS stored, (SELECT min(published_at) FROM added) AS oldest, 0 AS pages_again
+FROM ranged""",
+    ),
+    "stream_load": with_(
+        FEED,
+        PAGE_TEXT,
+        """
+kept AS (
+  SELECT * REPLACE (substr(headline, 1, 500) AS headline, p.text AS body_text)
+  FROM feed LEFT JOIN page_text p ON p.page_id = feed.doc_id
+  WHERE NOT regexp_matches(split_part(source_code, ':', -1), '(?i)src1'))""",
+        tagged("kept"),
+        body=f"""
+SELECT story_id, published_at, array_to_string(categories, ',') AS category, priority_score, coalesce(length(body_text), 0) AS body_length FROM tagged
+WHERE priority_score >= {REQUIRED} AND priority_score >= {RULES.minimum_score}""",
     ),
     "category_report": with_(
         FEED,

@@ -36,12 +36,17 @@ def preview(col: Column, length: int = 60) -> Column:
     return F.when(F.length(col) > length, F.concat(F.substring(col, 1, length), F.lit("..."))).otherwise(col)
 
 
+# attributes, in which a quoted value may hold any character
+_INSIDE = r"""(?:[^'">]++|"[^"]*+"|'[^']*+')*+"""
+# what is no text, left to right: comments, scripts and styles (to the end if unclosed), tags, tags with an open quote
+_MARKUP = (
+    rf"(?is)<!--.*?(?:-->|\z)|<(script|style)\b{_INSIDE}>.*?(?:</\1\s*>|\z)|</?[a-z!?]{_INSIDE}>|</?[a-z!?][^>]*>"
+)
+
+
 def html_to_text(html: Column) -> Column:
     """Text of an HTML page: no comments, scripts, styles or tags; entities decoded once."""
-    text = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
-    text = F.regexp_replace(text, r"(?is)<(script|style)\b[^>]*>.*?</(script|style)\s*>", "")
-    text = F.regexp_replace(text, r"(?s)<[^>]*>", "")
-    return squeeze(decode_entities(text))
+    return squeeze(decode_entities(F.regexp_replace(html, _MARKUP, "")))
 
 
 def decode_entities(text: Column) -> Column:

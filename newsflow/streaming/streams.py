@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from newsflow.operators.dedup import exclude_seen, keep_first
+from newsflow.operators.dedup import keep_first
 from newsflow.session import scratch_path
-from newsflow.sources.commits import exists
+from newsflow.sources import commits
 
 LATENESS = "1 hour"
 POLL = "5 minutes"
@@ -43,13 +45,6 @@ def hourly_counts(stream: DataFrame, time: str, *by: str | Column) -> DataFrame:
     return stream.groupBy(F.window(time, "1 hour"), *by).agg(F.count("*").alias("n"))
 
 
-def exclude_stored(stream: DataFrame, stored: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is not stored: the stored table is read again for each batch.
-    """
-    ids = stored.select(F.col(key).alias("_stored")).distinct()
-    return stream.join(ids, F.col(key) == F.col("_stored"), "left_outer").where(F.col("_stored").isNull()).drop("_stored")
-
-
 def start(stream: DataFrame, path: str, checkpoint: str, every: str = POLL, partition_by: tuple[str, ...] = ()) -> StreamingQuery:
     """Continuous load into a table: a batch ``every`` so often, restartable from its checkpoint."""
     writer = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
@@ -72,55 +67,109 @@ def loaded(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{path}/table")
 
 
+def each_batch(stream: DataFrame, put, checkpoint: str, every: str | None, mode: str = "append") -> StreamingQuery:
+    """Run ``put(batch, number)`` for what is there, then stop; with ``every``, a batch so often."""
+    writer = stream.writeStream.option("checkpointLocation", checkpoint).outputMode(mode).foreachBatch(put)
+    if every:
+        return writer.trigger(processingTime=every).start()
+    query = writer.trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
+def put_new(
+    rows: DataFrame, path: str, key: str, *order: str | Column, stored: str | None = None, partition_by: tuple[str, ...] = (), load: str | None = None
+) -> int:
+    """Append the first row of each key that neither the table at ``path`` nor the one at ``stored`` holds, by their indexes."""
+    rows = commits.not_stored(keep_first(rows, key, *order), path, key)
+    if stored is not None:
+        rows = commits.not_stored(rows, stored, key)
+    ids = lambda new: new.select(
+        F.col(key).cast("string").alias("key"), F.lit(None).cast("timestamp_ntz").alias("time"), F.lit(True).alias("stored")
+    )
+    return commits.change(rows.sparkSession, path, rows, partition_by, ids=ids, load=load)
+
+
 def store_new(
-    stream: DataFrame, path: str, checkpoint: str, key: str, *order: str | Column, stored: DataFrame | None = None,
+    stream: DataFrame, path: str, checkpoint: str, key: str, *order: str | Column, stored: str | None = None,
     partition_by: tuple[str, ...] = (), every: str | None = None,
 ) -> StreamingQuery:
-    """Append the first row of each key that neither ``path`` nor ``stored`` holds, however late it comes.
+    """:func:`put_new` for each batch, however late its rows come.
 
     No watermark decides what is stored, so the keys do not depend on how the input is
-    cut into batches. A batch that is run again finds its rows stored. Without ``every``
-    the query handles what is there and stops; else it runs a batch so often.
+    cut into batches. A batch of a number that is stored is not stored again; one that broke off while it
+    was written is finished or undone first. A stream without rows leaves an empty table.
     """
+    spark = stream.sparkSession
+    name = _stream_name(checkpoint)
 
-    def put(batch: DataFrame, _: int) -> None:
-        rows = keep_first(batch, key, *order)
-        if exists(batch.sparkSession, path):
-            rows = exclude_seen(rows, batch.sparkSession.read.schema(stream.schema).parquet(path), key)
-        if stored is not None:
-            rows = exclude_seen(rows, stored, key)
-        rows.write.mode("append").partitionBy(*partition_by).parquet(path)
+    def put(batch: DataFrame, number: int) -> None:
+        load = f"{name}-{number}"
+        if not commits.loaded(batch.sparkSession, path, load):
+            put_new(batch, path, key, *order, stored=stored, partition_by=partition_by, load=load)
 
-    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(put)
-    if every:
-        return writer.trigger(processingTime=every).start()
-    query = writer.trigger(availableNow=True).start()
-    query.awaitTermination()
-    return query
+    if not commits.data_files(spark, path):
+        spark.createDataFrame([], stream.schema).write.mode("append").parquet(path)
+    return each_batch(stream, put, checkpoint, every)
+
+
+def _stream_name(checkpoint: str) -> str:
+    """A name for the batches of one checkpoint."""
+    return f"stream-{zlib.crc32(checkpoint.encode()):08x}"
 
 
-def loaded_new(stream: DataFrame, name: str, key: str, *order: str | Column, stored: DataFrame | None = None) -> DataFrame:
+def loaded_new(stream: DataFrame, name: str, key: str, *order: str | Column, stored: str | None = None) -> DataFrame:
     """:func:`store_new` over all that is there, into a scratch table; returns the table."""
     path = scratch_path(stream.sparkSession, name)
     store_new(stream, f"{path}/table", f"{path}/checkpoint", key, *order, stored=stored)
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/table")
 
 
-def latest_counts(counts: DataFrame, name: str) -> DataFrame:
-    """The last value of ``n`` for each group of a counting stream, open windows included.
+def upsert_counts(counts: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Keep the last ``n`` of each group of a counting stream in a table: windows that are open are there too.
 
-    Each batch appends the groups it changed, with its number; nothing passes through the driver.
+    Each batch appends the groups it changed, with its number; see :func:`read_counts`. Nothing passes through the driver.
     """
-    spark, path = counts.sparkSession, scratch_path(counts.sparkSession, name)
-    keys = [c for c in counts.columns if c != "n"]
+    name = _stream_name(checkpoint)
 
     def put(batch: DataFrame, number: int) -> None:
-        batch.withColumn("_batch", F.lit(number)).write.mode("append").parquet(f"{path}/table")
+        load = f"{name}-{number}"
+        if not commits.loaded(batch.sparkSession, path, load):
+            commits.change(batch.sparkSession, path, batch.withColumn("_batch", F.lit(number).cast("long")), load=load)
+        if number % COMPACT_EVERY == COMPACT_EVERY - 1:
+            compact_counts(batch.sparkSession, path, counts.schema)
+
+    return each_batch(counts, put, checkpoint, every, "update")
+
+
+COMPACT_EVERY = 100  # batches
 
-    writer = counts.writeStream.option("checkpointLocation", f"{path}/checkpoint").outputMode("update")
-    writer.foreachBatch(put).trigger(availableNow=True).start().awaitTermination()
-    changes = spark.read.schema(counts.schema.add("_batch", "long")).parquet(f"{path}/table")
-    return changes.groupBy(*keys).agg(F.max_by("n", "_batch").alias("n"))
+
+def _last_counts(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    keys = [c for c in schema.names if c != "n"]
+    if not commits.data_files(spark, path):
+        return spark.createDataFrame([], schema.add("_batch", "long"))
+    changes = spark.read.schema(T.StructType([*schema.fields, T.StructField("_batch", T.LongType())])).parquet(path)
+    return changes.groupBy(*keys).agg(F.max_by("n", "_batch").alias("n"), F.max("_batch").alias("_batch"))
+
+
+def read_counts(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The last value of ``n`` for each group of :func:`upsert_counts`."""
+    commits.recover(spark, path)
+    return _last_counts(spark, path, schema).select(*schema.names)
+
+
+def compact_counts(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Write a table of :func:`upsert_counts` anew, without the values that later ones replaced."""
+    old = commits.data_files(spark, path)
+    commits.change(spark, path, _last_counts(spark, path, schema).select(*schema.names, "_batch"), replaces=old)
+
+
+def latest_counts(counts: DataFrame, name: str) -> DataFrame:
+    """The last value of ``n`` for each group of a counting stream, open windows included."""
+    path = scratch_path(counts.sparkSession, name)
+    upsert_counts(counts, f"{path}/table", f"{path}/checkpoint")
+    return read_counts(counts.sparkSession, f"{path}/table", counts.schema)
 
 
 def running_totals(stream: DataFrame, by: str, name: str) -> DataFrame:

@@ -4,9 +4,11 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from newsflow.plans.stream_ingest import ingest_stream
+from newsflow.plans import ingest
+from newsflow.plans.stream_ingest import ingest_stream, load_stream
 from newsflow.rules import Rules
 from newsflow.session import scratch_path
+from newsflow.sources import commits, runlog, store
 from newsflow.streaming import streams
 
 T0 = datetime(2024, 1, 1)
@@ -59,11 +61,31 @@ def test_many_copies_of_one_story(spark):
 def test_exclude_stored(spark):
     path = scratch_path(spark, "stored-test")
     arrive(spark, path, ("a", 0), ("b", 1), ("c", 2))
-    stored = spark.createDataFrame([("b",), ("b",)], "story_id string")
-    kept = streams.loaded(streams.exclude_stored(stream(spark, path), stored, "story_id"), "stored")
+    stored = scratch_path(spark, "stored-ids")
+    streams.put_new(spark.createDataFrame([("b",), ("b",)], "story_id string"), stored, "story_id")
+    kept = streams.loaded_new(stream(spark, path), "stored", "story_id", stored=stored)
     assert sorted(r.story_id for r in kept.collect()) == ["a", "c"]
 
 
+def test_an_empty_stream_leaves_an_empty_table(spark):
+    path = scratch_path(spark, "empty-test")
+    spark.createDataFrame([], SCHEMA).write.parquet(path)
+    assert streams.loaded_new(stream(spark, path), "empty", "story_id").count() == 0
+    counted = streams.hourly_counts(stream(spark, path), "ts").select(F.col("window.start").alias("h"), "n")
+    assert streams.latest_counts(counted, "empty").count() == 0
+
+
+def test_counts_are_compacted_without_loss(spark, monkeypatch):
+    monkeypatch.setattr(streams, "COMPACT_EVERY", 2)
+    path = scratch_path(spark, "compact-test")
+    for hour in range(5):
+        arrive(spark, f"{path}/source", ("a", 60 * hour), ("b", 60 * hour + 30), ("c", 0))
+        counted = streams.hourly_counts(stream(spark, f"{path}/source"), "ts", "story_id").select(F.hour("window.start").alias("h"), "story_id", "n")
+        streams.upsert_counts(counted, f"{path}/table", f"{path}/checkpoint")
+    got = {(r.h, r.story_id): r.n for r in streams.read_counts(spark, f"{path}/table", counted.schema).collect()}
+    assert got[(4, "a")] == 1 and got[(0, "c")] == 3 and len(got) == 11  # c: too late from the fourth poll on
+
+
 def test_sliding_window_counts(spark):
     path = scratch_path(spark, "slide-test")
     arrive(spark, path, ("a", 62), ("b", 64), ("c", 66), ("end", 1000))
@@ -121,3 +143,65 @@ def test_continuous_load(spark):
     assert {(r.story_id, str(r.day)) for r in spark.read.parquet(table).collect()} == {
         ("a", "2024-01-01"), ("b", "2024-01-01"), ("c", "2024-01-02"),
     }
+
+
+FEED = "storyId string, text string, versionCreated string, sourceCode string"
+
+
+def _files(spark, path):
+    """Six files of a feed, with repeats between them."""
+    words = ["copper strike", "zinc price", "tin demand", "nothing", "nickel supply"]
+    for n in range(6):
+        rows = [(str(i), f"{words[i % 5]} {i}", f"2024-01-{1 + i % 9:02d}T10:00:00Z", "NS:ABC") for i in range(n * 10, n * 10 + 14)]
+        spark.createDataFrame(rows, FEED).coalesce(1).write.mode("append").parquet(path)
+
+
+def _content(spark, path):
+    columns = ("story_id", "headline", "body_text", "source", "categories", "priority_score", "published_at")
+    return sorted(tuple(map(str, r)) for r in store.read_articles(spark, path).select(*columns).collect())
+
+
+def test_a_stream_equals_the_batch_load(spark):
+    path = scratch_path(spark, "stream-load")
+    _files(spark, f"{path}/feed")
+    rules, as_of = Rules(minimum_score=5, similarity=None), F.lit("2024-02-01").cast("timestamp_ntz")
+    bodies = spark.createDataFrame([("11", "lme price")], "story_id string, body_text string")
+    ingest.run_ingest(spark.read.schema(FEED).parquet(f"{path}/feed"), rules, f"{path}/batch", as_of, bodies=bodies)
+    want = _content(spark, f"{path}/batch")
+    assert want and any(r[2] == "lme price" for r in want)
+    for files in (1, 100):
+        feed = spark.readStream.schema(FEED).option("maxFilesPerTrigger", files).parquet(f"{path}/feed")
+        load_stream(feed, rules, f"{path}/{files}", f"{path}/checkpoint{files}", as_of=as_of, bodies=bodies)
+        assert _content(spark, f"{path}/{files}") == want
+        log = runlog.read_log(spark, f"{path}/{files}").collect()
+        assert {r.status for r in log} == {"completed"} and sum(r.articles_inserted for r in log) == len(want)
+
+
+def test_a_batch_that_breaks_off_is_finished_or_undone(spark, monkeypatch):
+    """The job stops after one of the staged files is moved, then before its stage is marked; each time the next run makes it whole."""
+    path = scratch_path(spark, "broken")
+    _files(spark, f"{path}/feed")
+    rules, as_of = Rules(minimum_score=5, similarity=None), F.lit("2024-02-01").cast("timestamp_ntz")
+    batch = spark.read.schema(FEED).parquet(f"{path}/feed")
+    ingest.run_ingest(batch, rules, f"{path}/whole", as_of)
+    want, whole = _content(spark, f"{path}/whole"), commits._move_in
+
+    def half(spark, source, target):
+        names = commits.data_files(spark, source)
+        with monkeypatch.context() as only:
+            only.setattr(commits, "data_files", lambda *_: names[:1])
+            whole(spark, source, target)
+        raise OSError("stopped")
+
+    for name, broken in (("_move_in", half), ("_touch", lambda *_: (_ for _ in ()).throw(OSError("stopped")))):
+        store_path = f"{path}/{name}"
+        with monkeypatch.context() as stop:
+            stop.setattr(commits, name, broken)
+            try:
+                ingest.run_ingest(batch, rules, store_path, as_of, load="one")
+                raise AssertionError("not stopped")
+            except OSError:
+                pass
+        ingest.run_ingest(batch, rules, store_path, as_of, load="one")
+        assert _content(spark, store_path) == want
+        assert {r.run_id: r.status for r in runlog.read_log(spark, store_path).collect()}["one"] in ("completed", "failed")

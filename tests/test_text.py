@@ -65,3 +65,25 @@ def test_ngrams(spark):
     ]
     assert one(spark, "Word", text.ngrams) == ["word"]
     assert one(spark, "a !", text.ngrams) == []
+
+
+@pytest.mark.parametrize(
+    "html, expected",
+    [
+        ('<a title="x > y">t</a>', "t"),
+        ("<a title='x > \"y'>t</a>", "t"),
+        ("a < b and c > d", "a < b and c > d"),
+        ("before<!-- no <b> end", "before"),
+        ("x<script>if (a < b) '</b>' more", "x"),
+        ("x<style media='a>b'>p {}</style >y", "xy"),
+        ("x<script>a</style>b</SCRIPT>y", "xy"),
+        ("<!DOCTYPE html><?xml version='1'?><p class=a>t</p>", "t"),
+        ('<a title="open>t</a>', "t"),
+        ("<p>5 &lt; 6</p><br/>", "5 < 6"),
+        ("", ""),
+        (None, None),
+    ],
+)
+def test_markup(spark, html, expected):
+    df = spark.createDataFrame([(html,)], "html string")
+    assert df.select(text.html_to_text(F.col("html"))).first()[0] == expected
