@@ -20,23 +20,30 @@ SELECT * FROM ranked WHERE rank <= 20
 
 ORACLE["op2_line_dedup"] = f"""
 WITH split AS (SELECT doc_id, coalesce(text, '') AS text, md5(coalesce(text, '')) AS h, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
-line AS (SELECT doc_id, h, unnest(ls) AS l, unnest(range(len(ls))) AS i FROM split),
-coded AS (SELECT *, ('0x' || substr(md5(l), 1, 7))::BIGINT AS code FROM line),
-ended AS (
-  SELECT *, ((coalesce(lag(code) OVER w, 0) * 1000003 + code) % 2147483647 % 4 = 0)::INT AS ends
-  FROM coded WINDOW w AS (PARTITION BY doc_id, h ORDER BY i)),
-placed AS (
-  SELECT *, coalesce(sum(ends) OVER (PARTITION BY doc_id, h ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place FROM ended),
-chunk AS (SELECT doc_id, h, place, string_agg(l, chr(10) ORDER BY i) AS c, count(*) AS n FROM placed GROUP BY ALL),
-first AS (
-  SELECT *, row_number() OVER (PARTITION BY c ORDER BY doc_id NULLS LAST, h, place) AS r
-  FROM chunk WHERE n >= 2 AND {_HAS_WORD.format('c')}),
-marked AS (
-  SELECT k.*, coalesce(f.r > 1, FALSE) AS gone FROM chunk k LEFT JOIN first f USING (doc_id, h, place))
-SELECT doc_id, sum(n)::BIGINT AS n_lines, coalesce(sum(n) FILTER (gone), 0)::BIGINT AS n_removed_lines, count(*) AS n_chunks,
-  count(*) FILTER (gone) AS n_removed_chunks,
-  sha256(coalesce(string_agg(c, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS clean_sha256
-FROM marked GROUP BY doc_id, h
+line AS (SELECT DISTINCT doc_id, h, l, pos FROM (SELECT doc_id, h, unnest(ls) AS l, unnest(range(len(ls))) AS pos FROM split)),
+worded AS (
+  SELECT *, row_number() OVER w - 1 AS k, count(*) OVER (PARTITION BY doc_id, h) AS m, ('0x' || substr(md5(l), 1, 7))::BIGINT AS code
+  FROM line WHERE {_HAS_WORD.format('l')} WINDOW w AS (PARTITION BY doc_id, h ORDER BY pos)),
+phase AS (SELECT doc_id, h, k, m, (lag(code) OVER w * 1000003 + code) % 2147483647 % 2 AS p FROM worded WINDOW w AS (PARTITION BY doc_id, h ORDER BY k)),
+ends AS (
+  SELECT doc_id, h, k - 1 AS i, k AS j FROM phase WHERE k > 0
+  UNION SELECT a.doc_id, a.h, a.k - 1, coalesce(min(b.k), least(a.k + 6, a.m - 1))
+  FROM phase a LEFT JOIN phase b ON a.doc_id IS NOT DISTINCT FROM b.doc_id AND a.h = b.h AND b.k > a.k AND b.k <= a.k + 6 AND b.p <> a.p
+  WHERE a.k > 0 GROUP BY a.doc_id, a.h, a.k, a.m),
+chunk AS (
+  SELECT e.doc_id, e.h, i, j, min(pos) AS place, max(pos) AS upto, string_agg(l, chr(10) ORDER BY k) AS c
+  FROM ends e JOIN worded w ON e.doc_id IS NOT DISTINCT FROM w.doc_id AND e.h = w.h AND k BETWEEN i AND j GROUP BY ALL),
+marked AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY doc_id NULLS LAST, h, place, upto) > 1 AS gone FROM chunk),
+removed AS (
+  SELECT DISTINCT m.doc_id, m.h, pos FROM marked m JOIN line n ON m.doc_id IS NOT DISTINCT FROM n.doc_id AND m.h = n.h AND pos BETWEEN place AND upto WHERE gone),
+stays AS (
+  SELECT n.doc_id, n.h, string_agg(l, chr(10) ORDER BY n.pos) FILTER (r.pos IS NULL) AS clean, count(r.pos) AS n_removed_lines, count(*) AS n_lines
+  FROM line n LEFT JOIN removed r ON n.doc_id IS NOT DISTINCT FROM r.doc_id AND n.h = r.h AND n.pos = r.pos GROUP BY n.doc_id, n.h),
+counted AS (SELECT doc_id, h, count(*) AS n_chunks, count(*) FILTER (gone) AS n_removed_chunks FROM marked GROUP BY ALL)
+SELECT s.doc_id, n_lines, n_removed_lines, coalesce(n_chunks, 0) AS n_chunks, coalesce(n_removed_chunks, 0) AS n_removed_chunks,
+  sha256(coalesce(clean, '')) AS clean_sha256
+FROM split s JOIN stays t ON s.doc_id IS NOT DISTINCT FROM t.doc_id AND s.h = t.h
+LEFT JOIN counted c ON s.doc_id IS NOT DISTINCT FROM c.doc_id AND s.h = c.h
 """
 
 ORACLE["op3_suffix_dedup"] = """
@@ -136,7 +143,7 @@ line AS (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS l F
 normal AS (SELECT *, {_NORMAL} AS nl, len(list_filter(regexp_split_to_array(l, '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS nw FROM line WHERE {_HAS_WORD.format('l')}),
 seen AS (SELECT source, nl, count(DISTINCT text) AS docs FROM normal GROUP BY source, nl),
 total AS (SELECT source, count(DISTINCT text) AS total FROM d GROUP BY source),
-common AS (SELECT seen.source, nl FROM seen JOIN total ON seen.source IS NOT DISTINCT FROM total.source WHERE docs > 10 AND 100 * docs > 10 * total),
+common AS (SELECT seen.source, nl FROM seen JOIN total ON seen.source IS NOT DISTINCT FROM total.source WHERE docs > 10),
 gone AS (SELECT doc_id, sum(nw)::BIGINT AS n FROM normal n JOIN common c ON n.source IS NOT DISTINCT FROM c.source AND n.nl = c.nl GROUP BY doc_id),
 dup AS (SELECT doc_id, (count(*) - count(DISTINCT l))::BIGINT AS n FROM normal GROUP BY doc_id),
 win AS (SELECT doc_id, unnest(range(1, len(ws) - 1)) AS i, ws FROM d WHERE len(ws) >= 3),

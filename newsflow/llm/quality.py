@@ -29,7 +29,7 @@ def quality_rules(
     of the distinct documents of its host have it. With ``enough_docs``, a line that more
     distinct documents of its host have is common whatever its share: that limit does
     not grow with the host. Lines are compared normalised:
-    trimmed, lower-cased, digits as 0, white space as one space; copies of a
+    trimmed, A-Z lower-cased, digits as 0, white space as one space; copies of a
     whole text are one document. Common lines are removed (``clean_text``), and a
     document that keeps less than ``left_percent`` % of its words is rejected, as is
     one that fails the base rules: fewer than ``least_words`` words, or more than
@@ -67,7 +67,7 @@ def quality_rules(
 
 
 def line_hash(line: Column) -> Column:
-    plain = F.regexp_replace(F.regexp_replace(F.lower(line), "[0-9]", "0"), "[\\x20\\x09-\\x0D]+", " ")
+    plain = F.regexp_replace(F.regexp_replace(W.ascii_lower(line), "[0-9]", "0"), "[\\x20\\x09-\\x0D]+", " ")
     return F.xxhash64(F.trim(plain))
 
 

@@ -262,8 +262,16 @@ def test_urls(spark):
     assert urlfilter.judge_urls(pages.where("false"), listed.where("false"), URL_RULES).count() == 0
 
 
-def test_chunks_join_to_the_text(spark):
-    texts = ["", "\n", "\n\n\n", "a\n\nb\n", " x\n y\n\n\n z", "\n".join(str(i % 7) for i in range(200))]
-    df = spark.createDataFrame([(t,) for t in texts], "_text string")
-    for r in linededup.with_chunks(df).collect():
-        assert "\n".join(r._chunks) == r._text
+def test_chunks_do_not_depend_on_what_stands_around_them(spark):
+    """Two lines are always a chunk, and the chunks of a passage are the same wherever it stands."""
+    r = random.Random(6)
+    passage = [f"line {r.random()}" for _ in range(12)]
+    texts = ["\n".join(passage), "\n".join(["own", "", *passage[:5], " ", *passage[5:], "other"]), "", "\n", "one", "\n\ntwo\n"]
+    lines = spark.createDataFrame([(i, t.split("\n")) for i, t in enumerate(texts)], "id int, _lines array<string>")
+    got = {x.id: {bytes(c.code): (c.place, c.upto) for c in x._chunks} for x in linededup._chunks(lines).collect()}
+    assert set(got[0]) <= {hashlib.sha256("\n".join(passage[a:b]).encode()).digest() for a in range(12) for b in range(a + 2, min(12, a + 8) + 1)}
+    pairs = {hashlib.sha256("\n".join(passage[a : a + 2]).encode()).digest() for a in range(11)}
+    assert pairs <= set(got[0]) and pairs <= set(got[1])
+    inner = {code for code, (_, upto) in got[0].items() if upto < 11 or got[0][code][0] == 10}
+    assert len(inner & set(got[1])) >= len(inner) - 8  # but for those that the end of the text cut
+    assert not any(got[i] for i in (2, 3, 4, 5))

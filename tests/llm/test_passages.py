@@ -32,7 +32,7 @@ def test_every_line_of_a_planted_passage_goes(spark, stage):
     if stage:
         got = {x.doc_id: x.text for x in corpus_pipeline.line_dedup(spark, df.repartition(5), "").collect()}
     else:
-        got = {x.doc_id: x.clean_text for x in linededup.remove_repeated_passages(df.repartition(5)).collect()}
+        got = {x.doc_id: x.clean_text for x in linededup.remove_repeated_chunks(df.repartition(5)).collect()}
     for first, end, passage in passages:
         assert set(passage) <= set(got[first].split("\n"))
         for i in range(first + 1, end):
@@ -57,17 +57,17 @@ def test_passages_against_brute_force(spark):
     r = random.Random(8)
     rows = [(i, "\n".join(r.choice(["a", "b", "c", "d", "", " "]) for _ in range(r.randint(0, 7)))) for i in range(300)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    got = {x.doc_id: (x.clean_text, x.n_removed_lines) for x in linededup.remove_repeated_passages(df).collect()}
+    got = {x.doc_id: (x.clean_text, x.n_removed_lines) for x in linededup.remove_repeated_chunks(df).collect()}
     assert got == _pairs_met_before(rows)
     words = lambda texts: {x for t in texts for x in t.split("\n") if x.strip()}
     assert words(t for t, _ in got.values()) == words(t for _, t in rows)
 
 
 def test_passages_of_awkward_and_empty_tables(documents, spark):
-    out = linededup.remove_repeated_passages(documents)
+    out = linededup.remove_repeated_chunks(documents)
     rows = out.collect()
     assert len(rows) == documents.count()
     repeated = [r for r in rows if r.doc_id == 2]
     assert repeated[0] == repeated[1] and repeated[0].clean_text == ""
-    assert linededup.remove_repeated_passages(documents.where("false")).count() == 0
+    assert linededup.remove_repeated_chunks(documents.where("false")).count() == 0
     assert "Python" not in out._jdf.queryExecution().executedPlan().toString()

@@ -4,6 +4,7 @@ import pytest
 
 import corpus_pipeline
 from newsflow.llm import quality
+from newsflow.llm.queries import QUERIES
 
 SHARED = "read more of our stories on the front page of this paper every day 2024"
 
@@ -35,6 +36,13 @@ def test_an_absolute_count_does_not_grow_with_the_host(spark, monkeypatch, host_
             assert not r.base_failed and not r.kept and r.clean_text == r.text.split("\n")[-1]
 
 
+def test_the_registered_query_rejects_depleted_documents(spark, tmp_path):
+    spark.createDataFrame(_rows(), "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.kept, r.base_failed) for r in QUERIES["op10_quality"](spark, str(tmp_path)).collect()}
+    assert {i for i, (kept, _) in got.items() if not kept} == {3000 + i for i in range(40)}
+    assert not any(failed for _, failed in got.values())
+
+
 def test_the_pipeline_rejects_depleted_documents(spark):
     rows = [(i, t, "en", s, len(t)) for i, t, s in _rows()]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
