@@ -638,7 +638,7 @@ arrived AS (SELECT count(*) + count(*) FILTER (doc_id % 10 = 0) AS n FROM feed)"
 SELECT 'article' AS kind, story_id AS id, detected AS language, array_to_string(categories, ',') AS category,
        CAST(length(body_text) AS BIGINT) AS size, CAST(priority_score AS BIGINT) AS score
 FROM loaded WHERE body_text IS NOT NULL
-UNION ALL SELECT 'article', story_id, language, '', CAST(length(body_text) AS BIGINT), 0 FROM feed WHERE doc_id % 25 = 0
+UNION ALL SELECT 'article', story_id, language, NULL, CAST(length(body_text) AS BIGINT), 0 FROM feed WHERE doc_id % 25 = 0
 UNION ALL SELECT 'run', 'first', 'completed', '', n, (SELECT count(*) FROM loaded) FROM arrived
 UNION ALL SELECT 'run', 'second', 'completed', '', n, 0 FROM arrived""",
     ),
