@@ -9,10 +9,10 @@ ORACLE["op1_topk"] = """
 WITH good AS (
   SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
   FROM embeddings
-  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
 scored AS (
-  SELECT q.vec_id AS query_id, r.vec_id, list_sum(list_transform(list_zip(q.v, r.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  SELECT q.vec_id AS query_id, r.vec_id, coalesce(list_sum(list_transform(list_zip(q.v, r.v), lambda p: p[1] * p[2])), 0)::BIGINT AS score
   FROM good q JOIN good r ON q.vec_id <> r.vec_id AND len(q.v) = len(r.v) WHERE q.vec_id % 20 = 0),
 ranked AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM scored)
 SELECT * FROM ranked WHERE rank <= 20

@@ -1,15 +1,16 @@
 """Exact top-k inner products with a ball tree per shard.
 
-Rows are dealt into shards of bounded size, queries into blocks. A task builds
-the ball tree of its shard and searches it for a block: every query opens its
-nodes in the order of their upper bounds on the inner product and stops when the
-best bound left is below its k-th score. A first wave searches one shard per
-block; its k-th scores start the searches of all other shards.
+Rows are dealt into shards of bounded size. A task builds the ball tree of its shard once, and queries
+stream past it: every query opens the nodes in the order of their upper bounds on the inner product and
+stops when the best bound left is below its k-th score. Shards are searched in waves: first one for
+each query, then a quarter of the others, then the rest. After each wave the k-th scores found so far are
+shared by all shards.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,9 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from newsflow.llm.tables import keep, shuffles_dropped
+from newsflow.llm.tables import forget, keep, shuffles_dropped
 
-SHARD_ROWS, BLOCK_QUERIES, LEAF_ROWS = 16_384, 4_096, 128
+SHARD_ROWS, LEAST_ROWS, LEAF_ROWS = 65_536, 4_096, 512  # rows of a shard: at most, and at least if there are tasks to spare
 _NONE = np.iinfo(np.int64).min  # the score of an empty place
 _FOUND = "query_id long, vec_id long, score long"
 
@@ -27,13 +28,13 @@ _FOUND = "query_id long, vec_id long, score long"
 def quantised(df: DataFrame, scale: int = 64) -> DataFrame:
     """``vec_id`` and ``vector``: floor(scale * x) of each component of ``embedding``.
 
-    Rows without id, with a null or empty vector, or with a null or non-finite
+    Rows without id, with a null vector, or with a null or non-finite
     component are left out; repeated rows count once.
     """
     x = F.col("embedding").cast("array<double>")
     good = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     vector = F.transform(x, lambda v: F.floor(v * float(scale)).cast("long"))
-    rows = df.where(F.col("vec_id").isNotNull() & (F.size(x) > 0) & good)
+    rows = df.where(F.col("vec_id").isNotNull() & F.coalesce(good, F.lit(False)))
     return rows.select(F.col("vec_id").cast("long").alias("vec_id"), vector.alias("vector")).distinct()
 
 
@@ -50,23 +51,29 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     spark = rows.sparkSession
     with shuffles_dropped(spark):
         rows, queries = keep(rows, "vectors"), keep(queries, "queries")
-        shards = max(1, math.ceil(rows.count() / SHARD_ROWS))
-        blocks = max(1, math.ceil(queries.count() / BLOCK_QUERIES))
-        rows = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(shards)).cast("int"))
-        asked = queries.withColumn("block", F.pmod(F.xxhash64("vec_id", "vector", F.lit(1)), F.lit(blocks)).cast("int"))
-        home = F.pmod(F.col("block"), F.lit(shards)).cast("int")
-
-        every_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-        every_shard = F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
-        here = rows.withColumn("block", every_block)
-        least = F.lit(None).cast("long")
-        first = asked.select("block", "vec_id", "vector", least.alias("floor"), home.alias("shard"))
-        found = keep(_search(here.where(F.col("shard") == home), first, k), "first")
-        if shards > 1:
-            floor = _best(found, k).where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("floor"))
-            others = asked.join(floor, "vec_id", "left").withColumn("shard", every_shard).where(F.col("shard") != home)
-            found = found.union(keep(_search(here.where(F.col("shard") != home), others, k), "others"))
-    return _best(found, k)
+        n, tasks = rows.count(), spark.sparkContext.defaultParallelism
+        shards = max(1, math.ceil(n / SHARD_ROWS), min(tasks, math.ceil(n / LEAST_ROWS)))
+        home = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(shards)).cast("int")
+        found, floor = None, None
+        for low, high in _waves(shards):
+            asked = queries.withColumn("floor", F.lit(None).cast("long")) if floor is None else queries.join(floor, "vec_id", "left")
+            ahead = F.explode(F.sequence(F.lit(low), F.lit(high - 1)))
+            asked = asked.select("vec_id", "vector", "floor", home.alias("home"), ahead.alias("ahead"))
+            asked = asked.withColumn("shard", F.pmod(F.col("home") + F.col("ahead"), F.lit(shards)).cast("int"))
+            wave = keep(_best(_search(rows, asked, shards, k), k), "found")
+            if found is None:
+                found = wave
+            else:
+                before, found = found, keep(_best(found.union(wave), k), "found")
+                forget(before, wave)
+            floor = found.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("floor"))
+    return found
+
+
+def _waves(shards: int) -> list[tuple[int, int]]:
+    """How far from a query's own shard those of each wave lie."""
+    cuts = sorted({0, 1, 1 + (shards - 1) // 4, shards})
+    return list(zip(cuts[:-1], cuts[1:], strict=True))
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
@@ -75,16 +82,19 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
-def _search(rows: DataFrame, asked: DataFrame, k: int) -> DataFrame:
-    rows = rows.select("shard", "block", "vec_id", "vector").groupBy("shard", "block")
-    asked = asked.select("shard", "block", "vec_id", "vector", "floor").groupBy("shard", "block")
-    return rows.cogroup(asked).applyInArrow(_search_shard(k), _FOUND)
+def _search(rows: DataFrame, asked: DataFrame, shards: int, k: int) -> DataFrame:
+    """Rows are dealt once, whatever the number of queries; in each shard they come before the queries."""
+    shard, none = F.pmod(F.xxhash64("vec_id", "vector"), F.lit(shards)).cast("int"), F.lit(None).cast("long")
+    dealt = rows.select(shard.alias("shard"), F.lit(False).alias("asks"), "vec_id", "vector", none.alias("floor")).union(
+        asked.select("shard", F.lit(True), "vec_id", "vector", "floor")
+    )
+    laid = dealt.repartitionById(shards, "shard").sortWithinPartitions("shard", "asks")
+    return laid.mapInArrow(_search_shards(k), _FOUND)
 
 
-def _vectors(table: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+def _vectors(table: pa.RecordBatch) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """By length: the places of the rows and their vectors as one matrix."""
-    column = table.column("vector").combine_chunks()
-    column = column if isinstance(column, pa.Array) else column.chunk(0)
+    column = table.column("vector")
     offsets, flat = column.offsets.to_numpy(), column.values.to_numpy()
     sizes = np.diff(offsets)
     out = {}
@@ -113,7 +123,7 @@ class _BallTree:
                 self.radius[node] = math.sqrt(((points - self.centre[node]) ** 2).sum(axis=1).max())
             if node < self.first_leaf:
                 half = len(own) // 2
-                if half:
+                if half and points.shape[1]:
                     spread = np.ptp(points, axis=0)
                     own = own[np.argpartition(points[:, int(spread.argmax())], half)]
                 parts[2 * node + 1], parts[2 * node + 2] = own[:half], own[half:]
@@ -121,33 +131,53 @@ class _BallTree:
                 self.members[node] = own
 
 
-def _search_shard(k: int):
-    def run(rows: pa.Table, asked: pa.Table) -> pa.Table:
-        found = [np.zeros((3, 0), np.int64)]
-        if rows.num_rows and asked.num_rows:
-            ids, own = rows.column("vec_id").to_numpy(), asked.column("vec_id").to_numpy()
-            floors = asked.column("floor").to_pandas().to_numpy(dtype=float, na_value=-np.inf)
-            stored, wanted = _vectors(rows), _vectors(asked)
-            for size in stored.keys() & wanted.keys():
-                (at, vectors), (who, queries) = stored[size], wanted[size]
-                order = np.argsort(ids[at], kind="stable")
-                for lo in range(0, len(who), 1024):
-                    part = who[lo : lo + 1024]
-                    found.append(_search_tree(ids[at][order], vectors[order], own[part], queries[lo : lo + 1024], floors[part], k))
-        found = np.concatenate(found, axis=1)
-        return pa.table({"query_id": found[0], "vec_id": found[1], "score": found[2]})
+def _search_shards(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, trees, at = {}, {}, None
+        for batch in batches:
+            shard, asks = batch.column("shard").to_numpy(), batch.column("asks").to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.flatnonzero((np.diff(shard) != 0) | (asks[1:] != asks[:-1])) + 1).tolist(), len(shard)]
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                if lo == hi:
+                    continue
+                if shard[lo] != at:
+                    held, trees, at = {}, {}, shard[lo]
+                part = batch.slice(lo, hi - lo)
+                ids = part.column("vec_id").to_numpy()
+                for size, (which, vectors) in _vectors(part).items():
+                    if not asks[lo]:
+                        held.setdefault(size, []).append((ids[which], vectors))
+                    elif size in held:
+                        if size not in trees:
+                            trees[size] = _Shard(*(np.concatenate([h[i] for h in held[size]]) for i in (0, 1)))
+                        floors = part.column("floor").to_pandas().to_numpy(dtype=float, na_value=-np.inf)[which]
+                        for first in range(0, len(which), 1024):
+                            some = slice(first, first + 1024)
+                            found = _search_tree(trees[size], ids[which][some], vectors[some], floors[some], k)
+                            yield pa.record_batch({"query_id": found[0], "vec_id": found[1], "score": found[2]})
 
     return run
 
 
-def _search_tree(ids, vectors, own, queries, floors, k):
+class _Shard:
+    """The rows of a shard by id, and their ball tree."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+        order = np.argsort(ids, kind="stable")
+        self.ids, self.vectors = ids[order], vectors[order]
+        self.points = self.vectors.astype(float)
+        self.most = float(np.abs(self.vectors).max(initial=0)) * vectors.shape[1]
+        self.tree = _BallTree(self.points)
+
+
+def _search_tree(shard: _Shard, own, queries, floors, k):
     """Query ids, row ids and scores of the best ``k`` rows of a shard at or above each floor."""
+    ids, tree = shard.ids, shard.tree
     n, m = len(ids), len(own)
-    limit = float(np.abs(vectors).max(initial=0)) * float(np.abs(queries).max(initial=0)) * vectors.shape[1]
+    limit = shard.most * float(np.abs(queries).max(initial=0))
     exact = limit < 2**52
-    points, asks = (vectors.astype(float), queries.astype(float)) if exact else (vectors, queries)
+    points, asks = (shard.points, queries.astype(float)) if exact else (shard.vectors, queries)
     packs = limit < 2**42 and n < 1 << 20
-    tree = _BallTree(vectors.astype(float))
     real = queries.astype(float)
     bound = real @ tree.centre.T + np.sqrt((real**2).sum(axis=1))[:, None] * tree.radius
     bound = np.floor(bound + 1e-6 + 1e-9 * np.abs(bound) + (0 if exact else limit * 1e-9))  # scores are whole numbers
@@ -174,6 +204,10 @@ def _search_tree(ids, vectors, own, queries, floors, k):
             q, members = who[part], np.sort(tree.members[int(leaves[part[0]])])
             scores = (asks[q] @ points[members].T).astype(np.int64)
             scores[own[q][:, None] == ids[members][None, :]] = _NONE
+            better = scores.max(axis=1) >= kth[q]  # the others find nothing here
+            q, scores = q[better], scores[better]
+            if not len(q):
+                continue
             both = np.concatenate([score[q], scores], axis=1)
             places = np.concatenate([place[q], np.broadcast_to(members, scores.shape)], axis=1)
             if packs:  # one whole number orders by score, then by smaller place

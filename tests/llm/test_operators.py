@@ -166,7 +166,6 @@ def test_pieces_hold_all_rows_within_the_limit():
 @pytest.mark.parametrize("rows_at_once", [60, 5000])
 def test_topk_against_brute_force(spark, monkeypatch, rows_at_once):
     monkeypatch.setattr(topk, "SHARD_ROWS", rows_at_once)
-    monkeypatch.setattr(topk, "BLOCK_QUERIES", 7)
     monkeypatch.setattr(topk, "LEAF_ROWS", 8)
     random_ = np.random.RandomState(3)
     rows = [(i, random_.normal(size=6).round(1).tolist()) for i in range(300)]
