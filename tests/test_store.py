@@ -1,6 +1,8 @@
 """Loads, changes and the run log of the store."""
 
-from datetime import datetime
+import json
+import re
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 from newsflow.operators import dedup, quality, reports
 from newsflow.plans import ingest
 from newsflow.rules import Rules
-from newsflow.sources import config, feed, runlog, store
+from newsflow.sources import commits, config, feed, runlog, store
 
 ARTICLE = "story_id string, headline string, published_at timestamp_ntz, arrival int"
 DAY = datetime(2024, 1, 1, 10)
@@ -261,3 +263,119 @@ def test_tags_and_texts_come_from_the_same_arrival(spark):
 @pytest.mark.parametrize("page_id, expected", [(5, "DOC000000000005"), (123456789, "DOC000123456789")])
 def test_story_id(spark, page_id, expected):
     assert spark.range(1).select(feed.story_id(F.lit(page_id))).first()[0] == expected
+
+
+def test_whole_rules_from_a_file(spark, tmp_path):
+    held = {
+        "text_processing": {"max_headline_length": 90},
+        "news_filtering": {
+            "priority_scoring": {"enabled": True, "minimum_score": 4, "category_minimum_scores": {"ZINC": 9}, "keywords": {"only": {"score": 3, "terms": ["x"]}}},
+            "source_filtering": {"enabled": False, "excluded_sources": ["spam"]},
+            "duplicate_detection": {"enabled": True, "similarity_threshold": 0.7, "check_window_hours": 6},
+        },
+    }
+    (tmp_path / "c.json").write_text(json.dumps(held, indent=1))
+    rules = config.read_whole_rules(spark, str(tmp_path / "c.json"))
+    assert (rules.minimum_score, rules.category_minimum, rules.excluded_sources) == (4, {"ZINC": 9}, [])
+    assert (rules.similarity, rules.window_hours, rules.max_headline_length) == (0.7, 6, 90)
+    assert rules.priority_terms == {"only": {"score": 3, "terms": ["x"]}} and rules.category_words == Rules().category_words
+    held["news_filtering"]["duplicate_detection"]["enabled"] = False
+    (tmp_path / "d.json").write_text(json.dumps(held))
+    assert config.read_whole_rules(spark, str(tmp_path / "d.json")).similarity is None
+
+
+def test_few_keys_read_their_buckets_and_many_do_not_shuffle_the_index(spark, tmp_path):
+    path = str(tmp_path / "store")
+    rows = spark.range(3000).select(F.col("id").cast("string").alias("story_id"), F.lit(DAY).cast("timestamp_ntz").alias("published_at"))
+    store.append_articles(rows, path)
+    few = commits.stored_among(rows.limit(5).select(F.col("story_id").alias("key")), path)
+    text = few._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"SelectedBucketsCount: [1-5] out of 64", text) and few.count() == 5
+    many = rows.union(rows.limit(9).withColumn("story_id", F.lit("new"))).select(F.col("story_id").alias("key")).distinct()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = commits.stored_among(many, path)
+        text = found._jdf.queryExecution().executedPlan().toString()
+        assert found.count() == 3000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    branch = text[text.index("SortMergeJoin") :]
+    scans = re.findall(r"(Exchange hashpartitioning[^\n]*)|(FileScan parquet[^\n]*Bucketed: true)", branch)
+    assert any(b for _, b in scans) and len([a for a, _ in scans if a]) <= 2  # of the batch: distinct, then its buckets
+
+
+def test_dropped_deleted_and_moved_stories_in_the_index(spark, tmp_path):
+    path = str(tmp_path / "store")
+    rows = [(str(i), datetime(2024, 1, 1 + i)) for i in range(6)]
+    df = spark.createDataFrame(rows, "story_id string, published_at timestamp_ntz")
+    store.append_articles(df, path)
+    store.apply_retention(spark, path, F.lit("2024-01-03").cast("timestamp_ntz"))
+    store.apply_delete(spark, path, spark.createDataFrame([("5",)], "story_id string"))
+    known = lambda: {"0", "1", "2", "3", "4", "5"} - {r.story_id for r in store.not_stored(df, path).collect()}
+    assert known() == {"2", "3", "4"}
+    commits.compact_index(spark, path)
+    assert known() == {"2", "3", "4"} and len(commits.data_files(spark, path + "/_ids")) <= 64
+    assert store.insert_only(df, path)["inserted_count"] == 3  # stories that went may come again
+    assert known() == {"0", "1", "2", "3", "4", "5"}
+    store.apply_updates(spark, path, spark.createDataFrame([("3", datetime(2023, 12, 1))], "story_id string, published_at timestamp_ntz"), as_of())
+    store.apply_retention(spark, path, F.lit("2024-01-01").cast("timestamp_ntz"))
+    assert known() == {"0", "1", "2", "4", "5"}
+
+
+def test_a_change_over_two_dates_that_breaks_off_is_finished(spark, tmp_path, monkeypatch):
+    path, whole = str(tmp_path / "a"), str(tmp_path / "b")
+    rows = [(str(i), f"h{i}", datetime(2024, 1, 1 + i % 3), DAY) for i in range(9)]
+    df = spark.createDataFrame(rows, "story_id string, headline string, published_at timestamp_ntz, updated_at timestamp_ntz")
+    updates = spark.createDataFrame([("0", "new"), ("1", "new")], "story_id string, headline string")
+    for p in (path, whole):
+        store.append_articles(df, p)
+    store.apply_updates(spark, whole, updates, as_of())
+    untouched = {f for f in files(tmp_path / "a") if "2024-01-03" in f}
+    plain, calls = commits.remove, []
+
+    def remove(spark, name):
+        calls.append(name)
+        if len(calls) == 2:
+            raise OSError("stopped")
+        plain(spark, name)
+
+    with monkeypatch.context() as stop:
+        stop.setattr(commits, "remove", remove)
+        with pytest.raises(OSError):
+            store.apply_updates(spark, path, updates, as_of())
+    read = lambda p: sorted(map(str, store.read_articles(spark, p).collect()))
+    assert read(path) == read(whole)  # reading finishes the change
+    assert untouched <= files(tmp_path / "a")
+
+
+def test_links_by_parts(spark, tmp_path):
+    path, links = str(tmp_path / "a"), str(tmp_path / "links")
+    df = spark.createDataFrame([(str(i), DAY) for i in range(50)], "story_id string, published_at timestamp_ntz")
+    store.append_articles(df, path)
+    store.write_links(df.select("story_id", F.lit("CU").alias("ric_code")), links)
+    before = {str(f.relative_to(links)) for f in (tmp_path / "links").glob("part=*/*.parquet")}
+    gone = spark.createDataFrame([("7",), ("none",)], "story_id string")
+    assert store.apply_delete(spark, path, gone, links) == {"articles_deleted": 1, "links_deleted": 1}
+    after = {str(f.relative_to(links)) for f in (tmp_path / "links").glob("part=*/*.parquet")}
+    assert len({f.split("/")[0] for f in before - after}) == 1 and store.read_links(spark, links).count() == 49
+    assert {r.story_id for r in store.with_link(df, store.read_links(spark, links)).collect()} == {str(i) for i in range(50) if i != 7}
+
+
+def test_loads_write_a_log_and_jobs_go_on(spark, tmp_path):
+    path, rules = str(tmp_path / "store"), Rules(similarity=None)
+    rows = [(str(i), f"copper price {i}", DAY + timedelta(minutes=i), "NS:ABC") for i in range(25)]
+    feed_ = spark.createDataFrame(rows, "storyId string, text string, published_at timestamp_ntz, sourceCode string")
+    empty = ingest.run_ingest(feed_.where("false"), rules, path, as_of(), load="empty")
+    assert empty["articles_fetched"] == 0
+    with pytest.raises(Exception, match="broken"):
+        broken = feed_.withColumn("text", F.when(F.col("storyId") == "3", F.raise_error(F.lit("broken"))).otherwise(F.col("text")))
+        ingest.run_ingest(broken, rules, path, as_of(), load="fails")
+    runlog.open_run(spark, path, "stuck", as_of())
+    start, end = (F.lit(str(DAY + timedelta(minutes=m))).cast("timestamp_ntz") for m in (0, 19))
+    assert ingest.backfill(feed_, rules, path, as_of(), start, end, 7) == 3
+    assert ingest.backfill(feed_, rules, path, as_of(), start, end, 7) == 0
+    assert ingest.load_since_newest(feed_, rules, path, as_of())["articles_inserted"] == 5
+    log = {r.run_id: (r.status, r.articles_inserted) for r in runlog.read_log(spark, path).collect()}
+    assert log["empty"] == ("failed", 0) and log["fails"] == ("failed", 0) and log["stuck"] == ("failed", 0)
+    assert [log[f"backfill-{n:08d}"] for n in range(3)] == [("completed", 7), ("completed", 7), ("completed", 6)]
+    assert store.read_articles(spark, path).count() == 25
