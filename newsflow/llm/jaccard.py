@@ -23,10 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.llm.components import components
-from newsflow.llm.tables import keep, partitions, rest, shuffles_dropped
+from newsflow.llm.tables import forget, keep, partitions, rest, shuffles_dropped
 from newsflow.llm.texthash import WindowHash, chunks, shingle_sets, utf8
 
 CELLS, SLOTS, BITS = 1 << 20, 64, 512
+ROUNDS = 4  # of the comparison
 GROUP_BLOCK, CLUSTER_BLOCK = 512, 256  # physical: members compared in one go
 _SIGNED = "id long, n long, digest binary, prefix array<long>, sketch binary"
 
@@ -62,7 +63,7 @@ def link_documents(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFr
             "classes",
         )
         clusters = components(_candidates(classes, percent))
-        found = keep(_compare(texts, classes, clusters, words, percent), "links")
+        found = _compare(texts, classes, clusters, words, percent)
         member = keep(
             signed.where("id IS NOT NULL AND n > 0").select("id", "digest").join(classes.select("digest", "class", "size"), "digest"),
             "members",
@@ -123,7 +124,11 @@ def _candidates(classes: DataFrame, percent: int) -> DataFrame:
 
 
 def _compare(texts: DataFrame, classes: DataFrame, clusters: DataFrame, words: int, percent: int) -> DataFrame:
-    """Exact links inside clusters: a spanning forest (u, v), and per class the rows it links with."""
+    """Exact links inside clusters: a spanning forest (u, v), and per class the rows it links with.
+
+    Sets are made once. A set of a large cluster goes to each pair of blocks it is in, so these
+    are compared in rounds, whose copies follow each other on disk.
+    """
     spark = texts.sparkSession
     sizes = clusters.groupBy("component").agg(F.ceil(F.count("*") / CLUSTER_BLOCK).alias("blocks"))
     held = clusters.join(sizes, "component").join(classes.select(F.col("class").alias("node"), "digest", "size", "n"), "node")
@@ -132,15 +137,22 @@ def _compare(texts: DataFrame, classes: DataFrame, clusters: DataFrame, words: i
     buckets = max(partitions(spark), math.ceil(volume * 8 / 64_000_000))
     wanted = held.groupBy(F.col("node").alias("id")).agg(F.min("component").alias("component"))
     sets = texts.join(wanted, "id").mapInArrow(_sets(words), "id long, digest binary, shingles binary")
+    sets = keep(sets.join(held.withColumnRenamed("node", "id"), ["id", "digest"]), "sets")
     rows = (
-        sets.join(held.withColumnRenamed("node", "id"), ["id", "digest"])
-        .withColumn("at", F.pmod(F.xxhash64("id", "digest"), F.col("blocks")).cast("int"))
+        sets.withColumn("at", F.pmod(F.xxhash64("id", "digest"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))))
         .withColumns({"lo": F.least("at", "other"), "hi": F.greatest("at", "other")})
         .withColumn("bucket", F.pmod(F.xxhash64("component", "lo", "hi"), F.lit(buckets)).cast("int"))
         .select("bucket", "component", "lo", "hi", "at", "id", "digest", "size", "n", "shingles")
     )
-    return rows.groupBy("bucket").applyInArrow(_join_blocks(percent), "u long, v long, digest binary, links long")
+    found = None
+    for number in range(ROUNDS):
+        some = rows.where(F.pmod("bucket", F.lit(ROUNDS)) == number)
+        part = keep(some.groupBy("bucket").applyInArrow(_join_blocks(percent), "u long, v long, digest binary, links long"), "compared")
+        found = part if found is None else found.union(part)
+    found = keep(found, "links")
+    forget(sets, held)
+    return found
 
 
 # -- inside tasks ----------------------------------------------------------------------------
