@@ -81,13 +81,16 @@ def put_new(
     rows: DataFrame, path: str, key: str, *order: str | Column, stored: str | None = None, partition_by: tuple[str, ...] = (), load: str | None = None
 ) -> int:
     """Append the first row of each key that neither the table at ``path`` nor the one at ``stored`` holds, by their indexes."""
-    rows = commits.not_stored(keep_first(rows, key, *order), path, key)
-    if stored is not None:
-        rows = commits.not_stored(rows, stored, key)
-    ids = lambda new: new.select(
-        F.col(key).cast("string").alias("key"), F.lit(None).cast("timestamp_ntz").alias("time"), F.lit(True).alias("stored")
-    )
-    return commits.change(rows.sparkSession, path, rows, partition_by, ids=ids, load=load)
+    spark, schema = rows.sparkSession, rows.schema
+    rows = keep_first(rows, key, *order)
+    for table in (path, stored):
+        if table is not None and commits.data_files(spark, table):
+            rows = commits.not_stored(rows, table, key, _keys(spark.read.parquet(table) if table == stored else spark.read.schema(schema).parquet(table), key))
+    return commits.change(spark, path, rows, partition_by, ids=lambda new: _keys(new, key).withColumn("stored", F.lit(True)), load=load)
+
+
+def _keys(rows: DataFrame, key: str) -> DataFrame:
+    return rows.select(F.col(key).cast("string").alias("key"), F.lit(None).cast("timestamp_ntz").alias("time"))
 
 
 def store_new(

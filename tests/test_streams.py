@@ -67,6 +67,14 @@ def test_exclude_stored(spark):
     assert sorted(r.story_id for r in kept.collect()) == ["a", "c"]
 
 
+def test_a_table_without_an_index_gets_one(spark):
+    path = scratch_path(spark, "plain-test")
+    arrive(spark, f"{path}/table", ("a", 0))
+    arrive(spark, f"{path}/source", ("a", 1), ("b", 1))
+    streams.store_new(stream(spark, f"{path}/source"), f"{path}/table", f"{path}/checkpoint", "story_id")
+    assert sorted(r.story_id for r in spark.read.parquet(f"{path}/table").collect()) == ["a", "b"]
+
+
 def test_an_empty_stream_leaves_an_empty_table(spark):
     path = scratch_path(spark, "empty-test")
     spark.createDataFrame([], SCHEMA).write.parquet(path)
