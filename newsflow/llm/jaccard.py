@@ -27,8 +27,8 @@ from newsflow.llm.tables import forget, keep, partitions, rest, shuffles_dropped
 from newsflow.llm.texthash import WindowHash, chunks, shingle_sets, utf8
 
 CELLS, SLOTS, BITS = 1 << 20, 64, 512
-ROUNDS = 4  # of the comparison
-GROUP_BLOCK, CLUSTER_BLOCK = 512, 256  # physical: members compared in one go
+ROUNDS = 8  # of the comparison, at most
+GROUP_BLOCK, CLUSTER_BLOCK = 512, 512  # physical: members compared in one go
 _SIGNED = "id long, n long, digest binary, prefix array<long>, sketch binary"
 
 
@@ -133,7 +133,8 @@ def _compare(texts: DataFrame, classes: DataFrame, clusters: DataFrame, words: i
     sizes = clusters.groupBy("component").agg(F.ceil(F.count("*") / CLUSTER_BLOCK).alias("blocks"))
     held = clusters.join(sizes, "component").join(classes.select(F.col("class").alias("node"), "digest", "size", "n"), "node")
     held = keep(held, "clustered")
-    volume = held.agg(F.sum(F.col("n") * F.col("blocks"))).first()[0] or 0
+    volume, blocks = held.agg(F.sum(F.col("n") * F.col("blocks")), F.max("blocks")).first()
+    volume, rounds = volume or 0, min(ROUNDS, blocks or 1)  # sets of small clusters are not copied
     buckets = max(partitions(spark), math.ceil(volume * 8 / 64_000_000))
     wanted = held.groupBy(F.col("node").alias("id")).agg(F.min("component").alias("component"))
     sets = texts.join(wanted, "id").mapInArrow(_sets(words), "id long, digest binary, shingles binary")
@@ -146,8 +147,8 @@ def _compare(texts: DataFrame, classes: DataFrame, clusters: DataFrame, words: i
         .select("bucket", "component", "lo", "hi", "at", "id", "digest", "size", "n", "shingles")
     )
     found = None
-    for number in range(ROUNDS):
-        some = rows.where(F.pmod("bucket", F.lit(ROUNDS)) == number)
+    for number in range(rounds):
+        some = rows.where(F.pmod("bucket", F.lit(rounds)) == number)
         part = keep(some.groupBy("bucket").applyInArrow(_join_blocks(percent), "u long, v long, digest binary, links long"), "compared")
         found = part if found is None else found.union(part)
     found = keep(found, "links")
