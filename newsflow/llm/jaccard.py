@@ -29,6 +29,8 @@ from newsflow.llm.texthash import WindowHash, chunks, shingle_sets, utf8
 CELLS, SLOTS, BITS = 1 << 20, 64, 512
 ROUNDS = 8  # of the comparison, at most
 GROUP_BLOCK, CLUSTER_BLOCK = 512, 512  # physical: members compared in one go
+CLUSTER_SHINGLES = 2_000_000  # and at most about so many shingles of a cluster
+BUCKET_BYTES, ROW_BYTES = 64_000_000, 200  # physical: what a task holds of hits, and a hit's size without its sketch
 _SIGNED = "id long, n long, digest binary, prefix array<long>, sketch binary"
 
 
@@ -105,19 +107,24 @@ def _candidates(classes: DataFrame, percent: int) -> DataFrame:
     """Edges that connect all classes whose sets might reach the threshold."""
     spark = classes.sparkSession
     narrow = classes.select("class", F.explode("prefix").alias("token"))
-    often = narrow.groupBy("token").agg(F.count("*").alias("members")).where("members > 1")
+    # shingles of one text and its near copies mostly have the same members: one of them tells as much as all,
+    # and long texts would send their sketches once per shingle otherwise
+    alike = [F.sum(F.xxhash64("class", F.lit(i)).cast("decimal(38,0)")).alias(f"members_{i}") for i in (1, 2)]
+    often = narrow.groupBy("token").agg(F.count("*").alias("members"), *alike).where("members > 1")
+    often = often.groupBy("members", "members_1", "members_2").agg(F.min("token").alias("token")).select("token", "members")
     hits = keep(narrow.join(often, "token"), "hits")
-    total = hits.count()
-    if not total:
-        return spark.createDataFrame([], "u long, v long")
     blocks = F.ceil(F.col("members") / GROUP_BLOCK)
+    sizes = classes.select("class", (F.octet_length("sketch") + ROW_BYTES).alias("bytes"))
+    volume = hits.join(sizes, "class").agg(F.sum(F.col("bytes") * blocks)).first()[0]
+    if not volume:
+        return spark.createDataFrame([], "u long, v long")
     rows = (
         hits.join(classes.select("class", "n", "sketch"), "class")
         .withColumn("at", F.pmod(F.xxhash64("class"), blocks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))))
         .withColumns({"lo": F.least("at", "other"), "hi": F.greatest("at", "other")})
     )
-    buckets = max(partitions(spark), math.ceil(total / 500_000))
+    buckets = max(partitions(spark), math.ceil(volume / BUCKET_BYTES))
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64("token", "lo", "hi"), F.lit(buckets)).cast("int"))
     rows = rows.select("bucket", "token", "lo", "hi", "at", "class", "n", "sketch")
     return keep(rows.groupBy("bucket").applyInArrow(_forests(percent), "u long, v long"), "candidates")
@@ -130,9 +137,10 @@ def _compare(texts: DataFrame, classes: DataFrame, clusters: DataFrame, words: i
     are compared in rounds, whose copies follow each other on disk.
     """
     spark = texts.sparkSession
-    sizes = clusters.groupBy("component").agg(F.ceil(F.count("*") / CLUSTER_BLOCK).alias("blocks"))
-    held = clusters.join(sizes, "component").join(classes.select(F.col("class").alias("node"), "digest", "size", "n"), "node")
-    held = keep(held, "clustered")
+    named = keep(clusters.join(classes.select(F.col("class").alias("node"), "digest", "size", "n"), "node"), "named")
+    blocks = F.greatest(F.ceil(F.count("*") / CLUSTER_BLOCK), F.ceil(F.sum("n") / CLUSTER_SHINGLES))
+    sizes = named.groupBy("component").agg(blocks.alias("blocks"))
+    held = keep(named.join(sizes, "component").select("node", "component", "blocks", "digest", "size", "n"), "clustered")
     volume, blocks = held.agg(F.sum(F.col("n") * F.col("blocks")), F.max("blocks")).first()
     volume, rounds = volume or 0, min(ROUNDS, blocks or 1)  # sets of small clusters are not copied
     buckets = max(partitions(spark), math.ceil(volume * 8 / 64_000_000))
@@ -152,7 +160,7 @@ def _compare(texts: DataFrame, classes: DataFrame, clusters: DataFrame, words: i
         part = keep(some.groupBy("bucket").applyInArrow(_join_blocks(percent), "u long, v long, digest binary, links long"), "compared")
         found = part if found is None else found.union(part)
     found = keep(found, "links")
-    forget(sets, held)
+    forget(sets, held, named)
     return found
 
 
@@ -298,8 +306,13 @@ def _forests(percent):
             left = right = np.arange(start[g], start[g] + size[g])
             if lo[start[g]] != hi[start[g]]:  # two blocks: each pair inside a block has its own group
                 left, right = left[at[left] == lo[left]], right[at[right] == hi[right]]
+            low, met = start[g], [pairs[0]]
             for part in np.array_split(left, -(-len(left) // 64)) if len(left) else []:
-                pairs.append(near(np.repeat(part, len(right)), np.tile(right, len(part))))
+                met.append(near(np.repeat(part, len(right)), np.tile(right, len(part))))
+            i, j = (np.concatenate(x) - low for x in zip(*met, strict=True))
+            least = _labels(int(size[g]), i, j)  # the group's forest is held, not its pairs
+            moved = np.flatnonzero(least != np.arange(size[g]))
+            pairs.append((moved + low, least[moved] + low))
         left, right = (np.concatenate(x) for x in zip(*pairs, strict=True))
         names, place = np.unique(node, return_inverse=True)
         label = _labels(len(names), place[left], place[right])
