@@ -26,7 +26,8 @@ from newsflow.llm.components import components
 from newsflow.llm.tables import forget, keep, partitions, rest, shuffles_dropped
 from newsflow.llm.texthash import WindowHash, chunks, shingle_sets, utf8
 
-CELLS, SLOTS, BITS = 1 << 20, 64, 512
+CELLS, SLOTS, BITS = 1 << 23, 64, 512  # of the table of counts: one byte a cell
+CELL_SHIFT = np.uint64(64 - CELLS.bit_length() + 1)
 ROUNDS = 8  # of the comparison, at most
 GROUP_BLOCK, CLUSTER_BLOCK = 512, 512  # physical: members compared in one go
 CLUSTER_SHINGLES = 2_000_000  # and at most about so many shingles of a cluster
@@ -52,7 +53,7 @@ def link_documents(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFr
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     with shuffles_dropped(spark):
         counted = texts.mapInArrow(_counts(words), "slot int, counts binary")
-        scales = counted.groupBy("slot").applyInArrow(_scales, "slot int, counts binary").collect()  # 1 MiB, whatever the input
+        scales = counted.groupBy("slot").applyInArrow(_scales, "slot int, counts binary").collect()  # 8 MiB, whatever the input
         scale = np.zeros(CELLS, np.uint8)
         for row in scales:
             scale[row.slot * (CELLS // SLOTS) : (row.slot + 1) * (CELLS // SLOTS)] = np.frombuffer(row.counts, np.uint8)
@@ -202,17 +203,24 @@ def _differ(sketches: list[np.ndarray], left: np.ndarray, right: np.ndarray) ->
 def _counts(words):
     def run(batches):
         roll, counts = WindowHash(1), np.zeros(CELLS, np.uint32)
+
+        def add(held):
+            cells = np.sort((np.concatenate(held) >> CELL_SHIFT).astype(np.uint32))
+            start = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]])
+            counts[cells[start]] += np.diff(np.r_[start, len(cells)]).astype(np.uint32)
+
         for batch in batches:
             held, n = [], 0
             for s in _sets_of(batch, batch.column(1), words, roll):
                 held.append(s)
                 n += len(s)
                 if n > 1_000_000:
-                    counts += np.bincount((np.concatenate(held) >> np.uint64(44)).astype(np.int64), minlength=CELLS).astype(np.uint32)
+                    add(held)
                     held, n = [], 0
             if n:
-                counts += np.bincount((np.concatenate(held) >> np.uint64(44)).astype(np.int64), minlength=CELLS).astype(np.uint32)
-        for slot, part in enumerate(counts.reshape(SLOTS, -1)):
+                add(held)
+        # a task's counts stop at 255: they only choose the order, and most cells hold a few
+        for slot, part in enumerate(np.minimum(counts, 255).astype(np.uint8).reshape(SLOTS, -1)):
             if part.any():
                 yield pa.RecordBatch.from_pydict(
                     {"slot": pa.array([slot], pa.int32()), "counts": pa.array([part.tobytes()], pa.binary())}
@@ -223,7 +231,9 @@ def _counts(words):
 
 def _scales(table: pa.Table) -> pa.Table:
     """Powers of two of a slot's summed counts."""
-    total = sum(np.frombuffer(x, np.uint32).astype(np.uint64) for x in table.column("counts").to_pylist())
+    total = np.zeros(CELLS // SLOTS, np.uint64)
+    for x in table.column("counts"):
+        total += np.frombuffer(x.as_buffer(), np.uint8)
     scale = np.floor(np.log2(np.maximum(total, 1))).astype(np.uint8)
     return pa.table({"slot": table.column("slot").slice(0, 1), "counts": pa.array([scale.tobytes()], pa.binary())})
 
@@ -237,7 +247,7 @@ def _sign(words, percent, shared):
                 n.append(len(s))
                 digests.append(_digest(s))
                 keep_n = len(s) - -(-percent * len(s) // 100) + 1 if len(s) else 0
-                order = np.argsort(scale[(s >> np.uint64(44)).astype(np.int64)], kind="stable")
+                order = np.argsort(scale[(s >> CELL_SHIFT).astype(np.int64)], kind="stable")
                 prefixes.append(s[order[:keep_n]].view(np.int64))
                 sketches.append(_sketch(s))
             ends = np.cumsum([0, *map(len, prefixes)], dtype=np.int32)
