@@ -107,13 +107,15 @@ def link_documents(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFr
 def _candidates(classes: DataFrame, percent: int) -> DataFrame:
     """Edges that connect all classes whose sets might reach the threshold."""
     spark = classes.sparkSession
-    narrow = classes.select("class", "n", F.explode("prefix").alias("token"))
+    narrow = classes.select("class", "n", F.posexplode("prefix").alias("at", "token"))
     # shingles of one text and its near copies mostly have the same members: one of them tells as much as all,
     # and long texts would send their sketches once per shingle otherwise
     alike = [F.sum(F.xxhash64("class", F.lit(i)).cast("decimal(38,0)")).alias(f"members_{i}") for i in (1, 2)]
-    often = narrow.groupBy("token").agg(F.count("*").alias("members"), F.min("n").alias("least"), F.max("n").alias("most"), *alike)
-    # two sets alone whose sizes are too far apart to link need no comparison
-    often = often.where(f"members > 2 OR members = 2 AND 100 * least >= {percent} * most")
+    left = F.min(F.col("n") - F.col("at")).alias("left")
+    often = narrow.groupBy("token").agg(F.count("*").alias("members"), left, F.sum("n").alias("both"), *alike)
+    # a pair that links does so by what follows its first common shingle in both; where that is too little
+    # for the only two members, another shingle shows the pair or it does not link
+    often = often.where(f"members > 2 OR members = 2 AND {100 + percent} * left >= {percent} * both")
     often = often.groupBy("members", "members_1", "members_2").agg(F.min("token").alias("token")).select("token", "members")
     hits = keep(narrow.select("class", "token").join(often, "token"), "hits")
     blocks = F.ceil(F.col("members") / GROUP_BLOCK)
