@@ -379,3 +379,38 @@ def test_loads_write_a_log_and_jobs_go_on(spark, tmp_path):
     assert log["empty"] == ("failed", 0) and log["fails"] == ("failed", 0) and log["stuck"] == ("failed", 0)
     assert [log[f"backfill-{n:08d}"] for n in range(3)] == [("completed", 7), ("completed", 7), ("completed", 6)]
     assert store.read_articles(spark, path).count() == 25
+
+
+def test_steps_over_files_do_not_grow_with_the_dates(spark, tmp_path, monkeypatch):
+    """Lists come over in one piece, new dates are moved as folders: few calls of the file system for each date."""
+
+    def calls(days, name):
+        path, made = str(tmp_path / name), []
+        plain = commits._path
+        monkeypatch.setattr(commits, "_path", lambda *a: made.append(a) or plain(*a))
+        df = spark.range(days * 2).select(
+            F.col("id").cast("string").alias("story_id"),
+            F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(int(id / 2))").alias("published_at"),
+        )
+        assert store.append_articles(df, path) == days * 2
+        written = len(made)
+        assert store.read_articles(spark, path).count() == days * 2 and len(store.stored_dates(spark, path)) == days
+        read = len(made) - written
+        assert store.apply_delete(spark, path, df.where("story_id = '0' OR story_id = '5'")) == {"articles_deleted": 2, "links_deleted": 0}
+        assert store.read_articles(spark, path).count() == days * 2 - 2
+        monkeypatch.setattr(commits, "_path", plain)
+        return written, read
+
+    (written, read), (more_written, more_read) = calls(5, "few"), calls(45, "many")
+    assert more_read == read and more_written - written <= 2 * 40 + 2 * commits.BUCKETS
+
+
+def test_dates_that_a_store_has_get_files_beside(spark, tmp_path):
+    """A change whose dates are partly there, stopped after some moves, is finished by the next read."""
+    path = str(tmp_path / "store")
+    store.append_articles(batch(spark, "1"), path)
+    rows = spark.createDataFrame([("2", DAY), ("3", DAY + timedelta(days=1)), ("4", None)], "story_id string, published_at timestamp_ntz")
+    store.append_articles(rows, path)
+    assert len(files(tmp_path / "store")) == 4
+    store.apply_delete(spark, path, spark.createDataFrame([("4",)], "story_id string"))
+    assert {r.story_id for r in store.read_articles(spark, path).collect()} == {"1", "2", "3"}
