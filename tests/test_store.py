@@ -414,3 +414,21 @@ def test_dates_that_a_store_has_get_files_beside(spark, tmp_path):
     assert len(files(tmp_path / "store")) == 4
     store.apply_delete(spark, path, spark.createDataFrame([("4",)], "story_id string"))
     assert {r.story_id for r in store.read_articles(spark, path).collect()} == {"1", "2", "3"}
+
+
+def test_stored_stories_are_not_tagged_again(spark, tmp_path, monkeypatch):
+    path, rules, tagged = str(tmp_path / "store"), Rules(similarity=None), []
+    rows = [(str(i), f"copper price {i}", DAY + timedelta(minutes=i), "NS:ABC") for i in range(6)]
+    feed_ = spark.createDataFrame(rows, "storyId string, text string, published_at timestamp_ntz, sourceCode string")
+    assert ingest.run_ingest(feed_.where("storyId < '4'"), rules, path, as_of())["articles_inserted"] == 4
+    plain = ingest.tag_articles
+    monkeypatch.setattr(ingest, "tag_articles", lambda df, *a: tagged.append(sorted(r.story_id for r in df.collect())) or plain(df, *a))
+    counts = ingest.run_ingest(feed_, rules, path, as_of())
+    assert counts == {"articles_fetched": 6, "articles_inserted": 2, "articles_failed": 4} and tagged == [["4", "5"]]
+
+
+def test_headlines_do_not_split_whole_texts(spark):
+    df = spark.createDataFrame([(i, t, "s", "en") for i, t in enumerate(["one\ntwo\nthree", "one", "", "\ntwo", None])], "doc_id long, text string, source string, lang string")
+    rows = feed.documents_as_feed(df)
+    assert [r.text for r in rows.orderBy("doc_id").collect()] == ["one", "one", "", "", None]
+    assert "split" not in rows._jdf.queryExecution().executedPlan().toString().lower()
