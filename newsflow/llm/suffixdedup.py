@@ -17,6 +17,10 @@ Only equality matters here, so ranks are 64-bit hashes (two of them where they
 decide), not lexicographic ranks. A task sends one row group per bucket, holding
 one record per distinct sample, so a passage in a third of all texts costs a
 bucket one record per task, never one per text.
+
+Buckets grow with the table, so a task gathers about a million records before it
+deals them out, and deals, reads and joins all row groups at once: work follows
+the records, not the row groups, whose number is that of buckets times tasks.
 """
 
 from __future__ import annotations
@@ -30,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.llm.tables import keep, rest, shuffles_dropped, small_batches
-from newsflow.llm.texthash import CHUNK_BYTES, WindowHash, chunks, utf8
+from newsflow.llm.texthash import WindowHash, chunks, utf8
 
 #: A perfect difference set: every difference modulo 57 comes from one pair of its members.
 PERIOD, COVER = 57, (0, 1, 3, 13, 32, 36, 43, 52)
@@ -39,8 +43,9 @@ LAST_ID = (1 << 63) - 1  # orders rows without an id after all others
 
 PARTS = "kind int, bucket int, ids binary, hashes binary, doc binary, a binary, b binary, c binary"
 SAMPLE, SPAN, ASK, WINDOW = 0, 1, 2, 3
-_TYPES = {"ids": np.int64, "hashes": np.int64, "doc": np.uint32}
-_SAMPLES_AT_ONCE = 1_000_000  # physical only
+_SAMPLES_AT_ONCE = 1_000_000  # or windows; physical only
+_BATCH_BYTES = 4_000_000  # of row groups that travel together; physical only
+_PIECE = 200_000  # bytes hashed in one go, which caches hold; physical only
 _BUCKET_SAMPLES, _BUCKET_BYTES = 500_000, 16_000_000  # of a suffix bucket in one block, of the texts whose spans are joined together
 
 
@@ -70,7 +75,7 @@ def remove_repeats(docs: DataFrame, width: int = 100, blocks: int = 4) -> DataFr
     # both follow the bytes alone, so that a table makes the same rows under any settings
     buckets = max(1, math.ceil(n_bytes * len(COVER) / PERIOD / blocks / _BUCKET_SAMPLES))
     doc_buckets = max(1, math.ceil(n_bytes / _BUCKET_BYTES))
-    grouped = "kind int, bucket int, ids binary, hashes binary, a binary, b binary"
+    grouped = "id long, hash long, a binary, b binary"
 
     with shuffles_dropped(spark):
         found = None
@@ -80,7 +85,7 @@ def remove_repeats(docs: DataFrame, width: int = 100, blocks: int = 4) -> DataFr
             kept = keep(decided, "ties")
             found = kept if found is None else found.union(kept)
         asked = found.where(F.col("kind") == ASK).groupBy("kind", "bucket").applyInArrow(_by_text, grouped)
-        asked = asked.select(*_key_of("ids", "hashes"), F.col("a").alias("asked"))
+        asked = asked.select("id", "hash", F.col("a").alias("asked"))
         asked_texts = keep(texts.join(asked, ["id", "hash"]), "asked")
         found = found.where(F.col("kind") == SPAN)
         # windows are fewer than samples: half as many blocks, so that the asked texts are hashed half as often
@@ -89,7 +94,7 @@ def remove_repeats(docs: DataFrame, width: int = 100, blocks: int = 4) -> DataFr
             decided = rows.groupBy("kind", "bucket").applyInArrow(_decide(width, doc_buckets), PARTS)
             found = found.union(keep(decided, "windows"))
         spans = found.groupBy("kind", "bucket").applyInArrow(_by_text, grouped)
-        spans = keep(spans.select(*_key_of("ids", "hashes"), F.col("a").alias("from"), F.col("b").alias("to")), "spans")
+        spans = keep(spans.select("id", "hash", F.col("a").alias("from"), F.col("b").alias("to")), "spans")
 
     new = ("n_bytes", "removed", "kept")
     keys = [texts_key.alias(n) for n, texts_key in zip(("id", "hash"), _keys(), strict=True)]
@@ -104,33 +109,55 @@ def _keys():
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), F.xxhash64("text")
 
 
-def _key_of(ids: str, hashes: str):
-    """The one id and hash a grouped row holds, written big-endian by ``_by_text``."""
-    return [F.conv(F.hex(c), 16, -10).cast("long").alias(n) for c, n in ((ids, "id"), (hashes, "hash"))]
+# -- inside tasks ----------------------------------------------------------------------------
 
 
-# -- inside tasks ----------------------------------------------------------------------------
+def _cells(values: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """One binary cell for the values between each edge and the next; the first edge is 0."""
+    offsets = (edges * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
 
 
-def _batch(kind, bucket, ids, hashes, doc, a, b=None, c=None) -> pa.RecordBatch:
-    """One row group; only the texts it names travel with it."""
-    used, doc = np.unique(doc, return_inverse=True)
-    parts = [ids[used], hashes[used], doc.astype(np.uint32), a, b, c]
-    cells = [pa.array([None if p is None else p.tobytes()], pa.binary()) for p in parts]
-    names = ["kind", "bucket", "ids", "hashes", "doc", "a", "b", "c"]
-    return pa.RecordBatch.from_arrays([pa.array([kind], pa.int32()), pa.array([bucket], pa.int32()), *cells], names)
+def _flat(column: pa.Array | pa.ChunkedArray, kind) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all binary cells, and how many each cell has."""
+    values, counts = [np.zeros(0, kind)], [np.zeros(0, np.int64)]
+    for part in column.chunks if isinstance(column, pa.ChunkedArray) else [column]:
+        offsets, data = utf8(part)
+        values.append(data[offsets[0] : offsets[-1]].view(kind))
+        counts.append(np.diff(offsets) // np.dtype(kind).itemsize)
+    return np.concatenate(values), np.concatenate(counts)
 
 
 def _dealt(kind, at: np.ndarray, ids, hashes, doc, *values) -> Iterator[pa.RecordBatch]:
-    """Row groups by the bucket ``at`` of each record."""
+    """Row groups by the bucket ``at`` of each record; only the texts that a group names travel with it."""
     if not len(at):
         return
-    order = np.argsort(at, kind="stable")
-    at = at[order]
-    edges = np.flatnonzero(_firsts(at)).tolist()
-    for lo, hi in zip(edges, [*edges[1:], len(at)], strict=True):
-        pick = order[lo:hi]
-        yield _batch(kind, int(at[lo]), ids, hashes, doc[pick], *[v[pick] for v in values])
+    order = np.argsort(at.astype(np.int64) * len(ids) + doc)
+    at, doc = at[order], doc[order]
+    new = _firsts(at)
+    named = np.flatnonzero(new | _firsts(doc))  # the first record of each text in each group
+    edges = np.r_[np.flatnonzero(new), len(at)]
+    width = 4 + sum(v.itemsize for v in values)
+    lo = 0
+    while lo < len(edges) - 1:
+        hi = max(lo + 1, int(np.searchsorted(edges, edges[lo] + _BATCH_BYTES // width, "right")) - 1)
+        start, end = edges[lo], edges[hi]
+        own = named[slice(*np.searchsorted(named, [start, end]))]
+        cuts, texts = edges[lo : hi + 1] - start, np.searchsorted(own, edges[lo : hi + 1])
+        place = np.zeros(end - start, np.int64)
+        place[own - start] = 1
+        place = np.cumsum(place) - 1 - np.repeat(texts[:-1], np.diff(cuts))
+        pick = order[start:end]
+        cells = [_cells(ids[doc[own]], texts), _cells(hashes[doc[own]], texts), _cells(place.astype(np.uint32), cuts)]
+        cells += [_cells(v[pick], cuts) for v in values] + [pa.nulls(hi - lo, pa.binary())] * (3 - len(values))
+        groups = [pa.array(np.full(hi - lo, kind, np.int32)), pa.array(at[edges[lo:hi]].astype(np.int32))]
+        yield pa.RecordBatch.from_arrays([*groups, *cells], ["kind", "bucket", "ids", "hashes", "doc", "a", "b", "c"])
+        lo = hi
+
+
+def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets are ranges of the hash."""
+    return (((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
 
 
 def _doc_bucket(ids, doc, buckets):
@@ -138,20 +165,25 @@ def _doc_bucket(ids, doc, buckets):
     return (spread % np.uint64(buckets))[doc]
 
 
-def _spans(ids, hashes, doc, start, end, buckets) -> Iterator[pa.RecordBatch]:
-    """Removed runs, joined where they overlap or touch, by text."""
-    if not len(doc):
-        return
-    order = np.lexsort((start, doc))
-    doc, start, end = doc[order], start[order].astype(np.int64), end[order].astype(np.int64)
+def _merged(doc, start, end):
+    """Runs joined where they overlap or touch, by text."""
     base = doc.astype(np.int64) << 32
+    order = np.argsort(base + start)
+    base, end = base[order], end[order].astype(np.int64)
+    start = start[order].astype(np.int64)
     reach = np.maximum.accumulate(base + end)
     new = np.r_[True, base[1:] + start[1:] > reach[:-1]]
     lo = np.flatnonzero(new)
-    hi = np.r_[lo[1:], len(doc)] - 1
-    doc, start, end = doc[lo], start[lo], (reach - base)[hi]
-    at = _doc_bucket(ids, doc, buckets)
-    yield from _dealt(SPAN, at, ids, hashes, doc, start.astype(np.uint32), end.astype(np.uint32))
+    hi = np.r_[lo[1:], len(base)] - 1
+    return base[lo] >> 32, start[lo].astype(np.uint32), (reach[hi] - base[lo]).astype(np.uint32)
+
+
+def _spans(ids, hashes, doc, start, end, buckets) -> Iterator[pa.RecordBatch]:
+    """Removed runs, joined where they overlap or touch, by text."""
+    if not len(doc):
+        return
+    doc, start, end = _merged(doc, start, end)
+    yield from _dealt(SPAN, _doc_bucket(ids, doc, buckets), ids, hashes, doc, start, end)
 
 
 def _firsts(*keys: np.ndarray) -> np.ndarray:
@@ -163,6 +195,16 @@ def _firsts(*keys: np.ndarray) -> np.ndarray:
     return new
 
 
+def _ties(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Records whose key others have too, equal ones side by side, and the others."""
+    order = np.argsort(key)
+    same = key[order][1:] == key[order][:-1]
+    tied = np.zeros(len(key), bool)
+    tied[1:] = same
+    tied[:-1] |= same
+    return order[tied], order[~tied]
+
+
 def _text_order(ids, hashes):
     """Rank of each text by (id, hash), and whether it is the first of its rank."""
     order = np.lexsort((hashes, ids))
@@ -172,7 +214,7 @@ def _text_order(ids, hashes):
     return rank, first
 
 
-def _read(batches, size=CHUNK_BYTES) -> Iterator[tuple]:
+def _read(batches, size) -> Iterator[tuple]:
     """Ids, hashes, row offsets and bytes of texts, in chunks, with the other columns."""
     for batch in batches:
         ids, hashes = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
@@ -194,9 +236,9 @@ def _samples(width, block, blocks, buckets, doc_buckets):
         def flush():
             ids, hashes = (np.concatenate([t[i] for t in texts]) for i in (0, 1))
             key, context, doc, pos = (np.concatenate([h[i] for h in held]) for i in range(4))
-            yield from _settle_samples(width, ids, hashes, key, context, doc, pos, buckets, doc_buckets)
+            yield from _settle_samples(width, ids, hashes, key, context, doc, pos, block, blocks, buckets, doc_buckets)
 
-        for ids, hashes, offsets, data, _ in _read(batches):
+        for ids, hashes, offsets, data, _ in _read(batches, _PIECE):
             size = np.diff(offsets)
             longest = int(size.max(initial=0))
             if longest >= width:
@@ -209,8 +251,7 @@ def _samples(width, block, blocks, buckets, doc_buckets):
                 roll.read(data)
                 at = offsets[doc] + pos
                 key = roll.windows(at, at + short)
-                bucket = (key >> np.uint64(20)) % np.uint64(buckets * blocks)
-                mine = bucket // np.uint64(buckets) == block
+                mine = _bucket(key, buckets * blocks) // buckets == block
                 key, doc, pos, at = key[mine], doc[mine], pos[mine], at[mine]
                 left, right = np.minimum(pos, PERIOD - 1), np.minimum(size[doc] - pos, width)
                 context = roll.windows(at - left, at + right)
@@ -228,18 +269,12 @@ def _samples(width, block, blocks, buckets, doc_buckets):
     return run
 
 
-def _settle_samples(width, ids, hashes, key, context, doc, pos, buckets, doc_buckets):
+def _settle_samples(width, ids, hashes, key, context, doc, pos, block, blocks, buckets, doc_buckets):
     rank, first = _text_order(ids, hashes)
     if not first.all():  # a repeated row is one text
         mine = first[doc]
         key, context, doc, pos = key[mine], context[mine], doc[mine], pos[mine]
-    bucket = key >> np.uint64(20)
-    order = np.argsort(key, kind="stable")
-    same = key[order][1:] == key[order][:-1]
-    tied = np.r_[False, same] | np.r_[same, False]
-    tied = order[tied] if len(order) else order
-    lone = np.ones(len(key), bool)
-    lone[tied] = False
+    tied, lone = _ties(key)
     tied = tied[np.lexsort((pos[tied], rank[doc[tied]], context[tied], key[tied]))]
     head = _firsts(key[tied], context[tied])
     later, heads = tied[~head], tied[head]
@@ -247,10 +282,10 @@ def _settle_samples(width, ids, hashes, key, context, doc, pos, buckets, doc_buc
     many = np.bincount(group)[group] > 1 if len(heads) else np.zeros(0, bool)
     ask = heads[many]
     evidence = np.r_[True, group[many][1:] != group[many][:-1]][: len(ask)] if len(ask) else np.zeros(0, bool)
-    send = np.concatenate([np.flatnonzero(lone), heads[~many], ask[evidence]])
+    send = np.concatenate([lone, heads[~many], ask[evidence]])
     flag = np.zeros(len(send), np.uint8)
     flag[len(send) - int(evidence.sum()) :] = 1
-    at = (bucket[send] % np.uint64(buckets)).astype(np.int64)
+    at = _bucket(key[send], buckets * blocks) - block * buckets
     yield from _dealt(SAMPLE, at, ids, hashes, doc[send], key[send], context[send], _with_flag(pos[send], flag))
     yield from _spans(ids, hashes, doc[later], *_reach(pos[later], width), doc_buckets)
     yield from _dealt(ASK, _doc_bucket(ids, doc[ask], doc_buckets), ids, hashes, doc[ask], pos[ask].astype(np.uint32))
@@ -268,17 +303,11 @@ def _reach(pos, width):
 
 def _gather(table: pa.Table, names: dict) -> tuple:
     """The records of all row groups of a bucket, with the ids and hashes of their texts."""
-    doc, ids, hashes, n = [], [], [], 0
-    values = {name: [] for name in names}
-    for row in table.to_pylist():
-        own = np.frombuffer(row["ids"], np.int64)
-        ids.append(own)
-        hashes.append(np.frombuffer(row["hashes"], np.int64))
-        doc.append(np.frombuffer(row["doc"], np.uint32).astype(np.int64) + n)
-        n += len(own)
-        for name, kind in names.items():
-            values[name].append(np.frombuffer(row[name], kind))
-    return tuple(np.concatenate(x) for x in (ids, hashes, doc, *values.values()))
+    ids, n_texts = _flat(table.column("ids"), np.int64)
+    hashes, _ = _flat(table.column("hashes"), np.int64)
+    doc, n = _flat(table.column("doc"), np.uint32)
+    doc = doc + np.repeat(np.cumsum(n_texts) - n_texts, n)
+    return ids, hashes, doc, *(_flat(table.column(name), kind)[0] for name, kind in names.items())
 
 
 def _decide(width, doc_buckets):
@@ -301,9 +330,7 @@ def _decide_samples(table, width, doc_buckets):
     ids, hashes, doc, key, context, pos = _gather(table, {"a": np.uint64, "b": np.uint64, "c": np.uint32})
     flag = pos >> np.uint32(31) > 0
     pos = (pos & np.uint32((1 << 31) - 1)).astype(np.int64)
-    order = np.argsort(key, kind="stable")
-    same = key[order][1:] == key[order][:-1]
-    tied = order[np.r_[False, same] | np.r_[same, False]]
+    tied, _ = _ties(key)
     if not len(tied):
         return
     rank, _ = _text_order(ids, hashes)
@@ -326,37 +353,35 @@ def _by_text(table: pa.Table) -> pa.Table:
     kind = table.column("kind")[0].as_py()
     names = {"a": np.uint32} | ({"b": np.uint32} if kind == SPAN else {})
     ids, hashes, doc, a, *b = _gather(table, names)
-    rank, _ = _text_order(ids, hashes)
-    place = np.zeros(int(rank.max()) + 1, np.int64)
-    place[rank] = np.arange(len(rank))
-    doc = place[rank][doc]
-    rows = {n: [] for n in ("ids", "hashes", "a", "b")}
+    rank, first = _text_order(ids, hashes)
+    doc = rank[doc]
     if kind == SPAN:
-        cells = list(_spans(ids, hashes, doc, a, b[0], 1))
-        if cells:
-            row = cells[0].to_pylist()[0]
-            ids, hashes = (np.frombuffer(row[n], np.int64) for n in ("ids", "hashes"))
-            doc, a, b = (np.frombuffer(row[n], np.uint32) for n in ("doc", "a", "b"))
+        doc, a, b = _merged(doc, a, b[0])
     else:
-        order = np.lexsort((a, doc))
-        doc, a = doc[order], a[order]
-        new = _firsts(doc, a)
-        doc, a = doc[new], a[new]
-        b = a
-    order = np.argsort(doc, kind="stable")
-    doc, a, b = doc[order], a[order], b[order]
-    edges = np.flatnonzero(_firsts(doc))
-    for lo, hi in zip(edges, [*edges[1:], len(doc)], strict=True):
-        d = int(doc[lo])
-        rows["ids"].append(int(ids[d]).to_bytes(8, "big", signed=True))
-        rows["hashes"].append(int(hashes[d]).to_bytes(8, "big", signed=True))
-        rows["a"].append(a[lo:hi].tobytes())
-        rows["b"].append(b[lo:hi].tobytes() if kind == SPAN else None)
-    n = len(rows["ids"])
-    bucket = table.column("bucket")[0].as_py()
-    arrays = [pa.array([kind] * n, pa.int32()), pa.array([bucket] * n, pa.int32())]
-    arrays += [pa.array(v, pa.binary()) for v in rows.values()]
-    return pa.Table.from_arrays(arrays, ["kind", "bucket", *rows])
+        own = (doc << 32) + a
+        own.sort()
+        own = own[_firsts(own)]
+        doc, a = own >> 32, (own & 0xFFFFFFFF).astype(np.uint32)
+    edges = np.r_[np.flatnonzero(_firsts(doc)), len(doc)]
+    texts = np.empty(int(first.sum()), np.int64)
+    texts[rank[first]] = np.flatnonzero(first)
+    texts = texts[doc[edges[:-1]]]
+    arrays = [pa.array(ids[texts]), pa.array(hashes[texts]), _cells(a, edges), _cells(b, edges) if kind == SPAN else pa.nulls(len(texts), pa.binary())]
+    return pa.Table.from_arrays(arrays, ["id", "hash", "a", "b"])
+
+
+def _asked(batch, offsets, width) -> tuple[np.ndarray, np.ndarray]:
+    """Text and start of all windows that the samples asked about can anchor."""
+    pos, n = _flat(batch.column(3), np.uint32)
+    doc, pos = np.repeat(np.arange(len(n)), n), pos.astype(np.int64)
+    lo = np.maximum(pos - PERIOD + 1, 0)
+    hi = np.minimum(pos, np.diff(offsets)[doc] - width) + 1
+    lo, hi, doc = lo[hi > lo], hi[hi > lo], doc[hi > lo]
+    inside = np.bincount(offsets[doc] + lo, minlength=offsets[-1] + 1)
+    inside -= np.bincount(offsets[doc] + hi, minlength=offsets[-1] + 1)
+    at = np.flatnonzero(np.cumsum(inside))
+    doc = np.searchsorted(offsets, at, "right") - 1
+    return doc, at - offsets[doc]
 
 
 def _windows(width, block, blocks, buckets, doc_buckets):
@@ -364,46 +389,57 @@ def _windows(width, block, blocks, buckets, doc_buckets):
 
     def run(batches):
         rolls = WindowHash(2), WindowHash(3)
-        for ids, hashes, offsets, data, batch in _read(batches, 500_000):
-            asked = [np.frombuffer(x, np.uint32).astype(np.int64) for x in batch.column(3).to_pylist()]
-            rank, first = _text_order(ids, hashes)
-            size = np.diff(offsets)
-            doc, pos = [], []
-            for d in np.flatnonzero(first).tolist():
-                starts = (asked[d][:, None] - np.arange(PERIOD)).ravel()
-                starts = np.unique(starts[(starts >= 0) & (starts + width <= size[d])])
-                doc.append(np.full(len(starts), d))
-                pos.append(starts)
-            if not doc:
-                continue
-            doc, pos = np.concatenate(doc), np.concatenate(pos)
+        held, texts, n_texts, n = [], [], 0, 0
+
+        def flush():
+            ids, hashes = (np.concatenate([t[i] for t in texts]) for i in (0, 1))
+            one, two, doc, pos = (np.concatenate([h[i] for h in held]) for i in range(4))
+            yield from _settle_windows(width, ids, hashes, one, two, doc, pos, block, blocks, buckets, doc_buckets)
+
+        for ids, hashes, offsets, data, batch in _read(batches, _PIECE):
+            doc, pos = _asked(batch, offsets, width)
             at = offsets[doc] + pos
             rolls[0].read(data)
-            rank_one = rolls[0].windows(at, at + width)
-            bucket = (rank_one >> np.uint64(20)) % np.uint64(buckets * blocks)
-            mine = bucket // np.uint64(buckets) == block
-            doc, pos, at = doc[mine], pos[mine], at[mine]
+            one = rolls[0].windows(at, at + width)
+            mine = _bucket(one, buckets * blocks) // buckets == block
+            one, doc, pos, at = one[mine], doc[mine], pos[mine], at[mine]
             rolls[1].read(data)
-            ranks = rank_one[mine], rolls[1].windows(at, at + width)
-            order = np.lexsort((pos, rank[doc], ranks[1], ranks[0]))
-            head = _firsts(ranks[0][order], ranks[1][order])
-            later, send = order[~head], order[head]
-            yield from _spans(ids, hashes, doc[later], pos[later], pos[later] + width, doc_buckets)
-            bucket = ((ranks[0][send] >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
-            values = ranks[0][send], ranks[1][send], pos[send].astype(np.uint32)
-            yield from _dealt(WINDOW, bucket, ids, hashes, doc[send], *values)
+            held.append((one, rolls[1].windows(at, at + width), doc + n_texts, pos))
+            texts.append((ids, hashes))
+            n_texts += len(ids)
+            n += len(one)
+            if n >= _SAMPLES_AT_ONCE:
+                yield from flush()
+                held, texts, n_texts, n = [], [], 0, 0
+        if n:
+            yield from flush()
 
     return run
 
 
+def _settle_windows(width, ids, hashes, one, two, doc, pos, block, blocks, buckets, doc_buckets):
+    rank, first = _text_order(ids, hashes)
+    if not first.all():  # a repeated row is one text
+        mine = first[doc]
+        one, two, doc, pos = one[mine], two[mine], doc[mine], pos[mine]
+    tied, lone = _ties(one)
+    tied = tied[np.lexsort((pos[tied], rank[doc[tied]], two[tied], one[tied]))]
+    head = _firsts(one[tied], two[tied])
+    later, send = tied[~head], np.concatenate([lone, tied[head]])
+    yield from _spans(ids, hashes, doc[later], pos[later], pos[later] + width, doc_buckets)
+    at = _bucket(one[send], buckets * blocks) - block * buckets
+    yield from _dealt(WINDOW, at, ids, hashes, doc[send], one[send], two[send], pos[send].astype(np.uint32))
+
+
 def _decide_windows(table, width, doc_buckets):
     ids, hashes, doc, one, two, pos = _gather(table, {"a": np.uint64, "b": np.uint64, "c": np.uint32})
     rank, _ = _text_order(ids, hashes)
     pos = pos.astype(np.int64)
-    order = np.lexsort((pos, rank[doc], two, one))
-    head = _firsts(one[order], two[order])
-    lead = order[np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))]
-    later = order[(rank[doc[lead]] != rank[doc[order]]) | (pos[lead] != pos[order])]
+    tied, _ = _ties(one)
+    tied = tied[np.lexsort((pos[tied], rank[doc[tied]], two[tied], one[tied]))]
+    head = _firsts(one[tied], two[tied])
+    lead = tied[np.maximum.accumulate(np.where(head, np.arange(len(tied)), 0))]
+    later = tied[(rank[doc[lead]] != rank[doc[tied]]) | (pos[lead] != pos[tied])]
     yield from _spans(ids, hashes, doc[later], pos[later], pos[later] + width, doc_buckets)
 
 

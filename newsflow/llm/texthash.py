@@ -42,7 +42,7 @@ class WindowHash:
         n = len(data) + 1
         if n > len(self.powers[0]):
             for i in (0, 1):
-                steps = np.full(n, self.factors[i], np.uint64)
+                steps = np.full(-(-n >> 16) << 16, self.factors[i], np.uint64)  # room for pieces a little longer
                 steps[0] = 1
                 self.powers[i] = np.multiply.accumulate(steps)
         terms = self.values[data]
