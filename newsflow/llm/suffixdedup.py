@@ -132,7 +132,10 @@ def _dealt(kind, at: np.ndarray, ids, hashes, doc, *values) -> Iterator[pa.Recor
     """Row groups by the bucket ``at`` of each record; only the texts that a group names travel with it."""
     if not len(at):
         return
-    order = np.argsort(at.astype(np.int64) * len(ids) + doc)
+    if at.max() < 1 << 16 and (doc[1:] >= doc[:-1]).all():
+        order = np.argsort(at.astype(np.uint16), kind="stable")  # a radix sort
+    else:
+        order = np.argsort(at.astype(np.int64) * len(ids) + doc)
     at, doc = at[order], doc[order]
     new = _firsts(at)
     named = np.flatnonzero(new | _firsts(doc))  # the first record of each text in each group
@@ -195,14 +198,14 @@ def _firsts(*keys: np.ndarray) -> np.ndarray:
     return new
 
 
-def _ties(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Records whose key others have too, equal ones side by side, and the others."""
+def _ties(key: np.ndarray) -> np.ndarray:
+    """Records whose key others have too, equal ones side by side."""
     order = np.argsort(key)
     same = key[order][1:] == key[order][:-1]
     tied = np.zeros(len(key), bool)
     tied[1:] = same
     tied[:-1] |= same
-    return order[tied], order[~tied]
+    return order[tied]
 
 
 def _text_order(ids, hashes):
@@ -251,7 +254,7 @@ def _samples(width, block, blocks, buckets, doc_buckets):
                 roll.read(data)
                 at = offsets[doc] + pos
                 key = roll.windows(at, at + short)
-                mine = _bucket(key, buckets * blocks) // buckets == block
+                mine = np.flatnonzero(_bucket(key, buckets * blocks) // buckets == block)
                 key, doc, pos, at = key[mine], doc[mine], pos[mine], at[mine]
                 left, right = np.minimum(pos, PERIOD - 1), np.minimum(size[doc] - pos, width)
                 context = roll.windows(at - left, at + right)
@@ -274,7 +277,7 @@ def _settle_samples(width, ids, hashes, key, context, doc, pos, block, blocks, b
     if not first.all():  # a repeated row is one text
         mine = first[doc]
         key, context, doc, pos = key[mine], context[mine], doc[mine], pos[mine]
-    tied, lone = _ties(key)
+    tied = _ties(key)
     tied = tied[np.lexsort((pos[tied], rank[doc[tied]], context[tied], key[tied]))]
     head = _firsts(key[tied], context[tied])
     later, heads = tied[~head], tied[head]
@@ -282,17 +285,17 @@ def _settle_samples(width, ids, hashes, key, context, doc, pos, block, blocks, b
     many = np.bincount(group)[group] > 1 if len(heads) else np.zeros(0, bool)
     ask = heads[many]
     evidence = np.r_[True, group[many][1:] != group[many][:-1]][: len(ask)] if len(ask) else np.zeros(0, bool)
-    send = np.concatenate([lone, heads[~many], ask[evidence]])
-    flag = np.zeros(len(send), np.uint8)
-    flag[len(send) - int(evidence.sum()) :] = 1
+    sent, flag = np.ones(len(key), bool), np.zeros(len(key), np.uint32)
+    sent[later], sent[ask[~evidence]], flag[ask[evidence]] = False, False, 1
+    send = np.flatnonzero(sent)
     at = _bucket(key[send], buckets * blocks) - block * buckets
-    yield from _dealt(SAMPLE, at, ids, hashes, doc[send], key[send], context[send], _with_flag(pos[send], flag))
+    yield from _dealt(SAMPLE, at, ids, hashes, doc[send], key[send], context[send], _with_flag(pos[send], flag[send]))
     yield from _spans(ids, hashes, doc[later], *_reach(pos[later], width), doc_buckets)
     yield from _dealt(ASK, _doc_bucket(ids, doc[ask], doc_buckets), ids, hashes, doc[ask], pos[ask].astype(np.uint32))
 
 
 def _with_flag(pos, flag):
-    return pos.astype(np.uint32) | (flag.astype(np.uint32) << np.uint32(31))
+    return pos.astype(np.uint32) | (flag << np.uint32(31))
 
 
 def _reach(pos, width):
@@ -330,7 +333,7 @@ def _decide_samples(table, width, doc_buckets):
     ids, hashes, doc, key, context, pos = _gather(table, {"a": np.uint64, "b": np.uint64, "c": np.uint32})
     flag = pos >> np.uint32(31) > 0
     pos = (pos & np.uint32((1 << 31) - 1)).astype(np.int64)
-    tied, _ = _ties(key)
+    tied = _ties(key)
     if not len(tied):
         return
     rank, _ = _text_order(ids, hashes)
@@ -371,16 +374,17 @@ def _by_text(table: pa.Table) -> pa.Table:
 
 
 def _asked(batch, offsets, width) -> tuple[np.ndarray, np.ndarray]:
-    """Text and start of all windows that the samples asked about can anchor."""
+    """Text and start of all windows that the samples asked about can anchor; these come in order."""
     pos, n = _flat(batch.column(3), np.uint32)
     doc, pos = np.repeat(np.arange(len(n)), n), pos.astype(np.int64)
     lo = np.maximum(pos - PERIOD + 1, 0)
     hi = np.minimum(pos, np.diff(offsets)[doc] - width) + 1
-    lo, hi, doc = lo[hi > lo], hi[hi > lo], doc[hi > lo]
-    inside = np.bincount(offsets[doc] + lo, minlength=offsets[-1] + 1)
-    inside -= np.bincount(offsets[doc] + hi, minlength=offsets[-1] + 1)
-    at = np.flatnonzero(np.cumsum(inside))
-    doc = np.searchsorted(offsets, at, "right") - 1
+    lo, hi, doc = (v[hi > lo] for v in (lo, hi, doc))
+    lo, hi = offsets[doc] + lo, offsets[doc] + hi
+    lo[1:] = np.maximum(lo[1:], hi[:-1])
+    n = hi - lo
+    doc, at = np.repeat(doc, n), np.repeat(lo - np.cumsum(n) + n, n)
+    at += np.arange(len(at))
     return doc, at - offsets[doc]
 
 
@@ -401,7 +405,7 @@ def _windows(width, block, blocks, buckets, doc_buckets):
             at = offsets[doc] + pos
             rolls[0].read(data)
             one = rolls[0].windows(at, at + width)
-            mine = _bucket(one, buckets * blocks) // buckets == block
+            mine = np.flatnonzero(_bucket(one, buckets * blocks) // buckets == block)
             one, doc, pos, at = one[mine], doc[mine], pos[mine], at[mine]
             rolls[1].read(data)
             held.append((one, rolls[1].windows(at, at + width), doc + n_texts, pos))
@@ -422,10 +426,13 @@ def _settle_windows(width, ids, hashes, one, two, doc, pos, block, blocks, bucke
     if not first.all():  # a repeated row is one text
         mine = first[doc]
         one, two, doc, pos = one[mine], two[mine], doc[mine], pos[mine]
-    tied, lone = _ties(one)
+    tied = _ties(one)
     tied = tied[np.lexsort((pos[tied], rank[doc[tied]], two[tied], one[tied]))]
     head = _firsts(one[tied], two[tied])
-    later, send = tied[~head], np.concatenate([lone, tied[head]])
+    later = tied[~head]
+    sent = np.ones(len(one), bool)
+    sent[later] = False
+    send = np.flatnonzero(sent)
     yield from _spans(ids, hashes, doc[later], pos[later], pos[later] + width, doc_buckets)
     at = _bucket(one[send], buckets * blocks) - block * buckets
     yield from _dealt(WINDOW, at, ids, hashes, doc[send], one[send], two[send], pos[send].astype(np.uint32))
@@ -435,7 +442,7 @@ def _decide_windows(table, width, doc_buckets):
     ids, hashes, doc, one, two, pos = _gather(table, {"a": np.uint64, "b": np.uint64, "c": np.uint32})
     rank, _ = _text_order(ids, hashes)
     pos = pos.astype(np.int64)
-    tied, _ = _ties(one)
+    tied = _ties(one)
     tied = tied[np.lexsort((pos[tied], rank[doc[tied]], two[tied], one[tied]))]
     head = _firsts(one[tied], two[tied])
     lead = tied[np.maximum.accumulate(np.where(head, np.arange(len(tied)), 0))]

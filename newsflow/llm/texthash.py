@@ -45,7 +45,7 @@ class WindowHash:
                 steps = np.full(-(-n >> 16) << 16, self.factors[i], np.uint64)  # room for pieces a little longer
                 steps[0] = 1
                 self.powers[i] = np.multiply.accumulate(steps)
-        terms = self.values[data]
+        terms = self.values.take(data, mode="clip")
         terms *= self.powers[0][: n - 1]
         self.sums = np.zeros(n, np.uint64)
         np.cumsum(terms, out=self.sums[1:])
